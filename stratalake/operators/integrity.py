@@ -60,7 +60,7 @@ def overlapping_pairs(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
     marks = (
         df.select(*keys, F.explode(F.array(
             F.struct(F.col("active_from").alias("day"), F.lit(1).alias("starts"), F.lit(0).alias("ends")),
-            F.struct(F.date_add("active_to", 1).alias("day"), F.lit(0), F.lit(1)),
+            F.struct(F.date_add("active_to", 1).alias("day"), F.lit(0).alias("starts"), F.lit(1).alias("ends")),
         )).alias("m"))
         .groupBy(*keys, F.col("m.day").alias("day"))
         .agg(F.sum("m.starts").alias("starts"), F.sum("m.ends").alias("ends"))

@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession
 from stratalake.operators import quality, versioning
 from stratalake.plans import datasets as ds
 from stratalake.plans import fda
+from stratalake.session import staged
 from stratalake.sinks import tables
 from stratalake.sinks.versioned import VersionedTable
 from stratalake.sources import files
@@ -44,9 +45,10 @@ def run_daily(
             tables.overwrite(df, path)
             bronze[table] = spark.read.schema(df.schema).parquet(path)
 
-    unified = fda.unified_codes(
-        bronze["fda-nsde"], bronze["fda-products"], bronze["fda-packages"], run_id
+    listed = staged(
+        fda.listed_packages(bronze["fda-products"], bronze["fda-packages"]), "listed-packages"
     )
+    unified = fda.unified_codes(bronze["fda-nsde"], listed, run_id)
     silver_path = posixpath.join(layout.silver, "fda_all_ndcs")
     tables.overwrite(unified, silver_path)
     silver = quality.require_rows(

@@ -58,16 +58,19 @@ def listed_packages(products: DataFrame, packages: DataFrame) -> DataFrame:
 
 
 def unified_codes(
-    nsde: DataFrame, products: DataFrame, packages: DataFrame, run_id: str,
+    nsde: DataFrame, listed: DataFrame, run_id: str,
     support: float = skew.SUPPORT, rows_per_task: int = skew.ROWS_PER_TASK,
 ) -> DataFrame:
-    """All codes of both sources; a row that only the second has carries ``run_id``."""
+    """All codes of both sources; a row that only the second has carries ``run_id``.
+
+    ``listed`` is the result of :func:`listed_packages`, best read from a table.
+    """
     number = next((c for c in map(lambda n: columns.find_column(nsde, n), _APPLICATION_NUMBER) if c), None)
     if number is None:
         raise ValueError(f"none of {_APPLICATION_NUMBER} in the second source")
     right = nsde.withColumnRenamed(number, "application_number")
     merged = merge.full_outer_merge(
-        listed_packages(products, packages), right, "ndc_11",
+        listed, right, "ndc_11",
         text=_MERGED_TEXT, dates=_MERGED_DATES, left_only=_LEFT_ONLY, flag="nsde_flag",
         support=support, rows_per_task=rows_per_task,
     )

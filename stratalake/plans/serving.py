@@ -26,7 +26,7 @@ def drug_codesets(
     right = products.withColumn("_product", F.col("rxnorm_rxcui"))
 
     coded = left.filter(F.col("_code").isNotNull())
-    mapped = skew.skew_join(coded, bridge, ["_code"], "left", support, rows_per_task)
+    mapped = coded.join(bridge, "_code", "left")
     known = F.col("_product").isNotNull()
     joined = merge.union_all([
         skew.skew_join(
