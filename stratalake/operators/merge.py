@@ -32,8 +32,7 @@ def full_outer_merge(
 
     ``text`` columns take the right value unless it is NULL or ``''``, ``dates``
     unless it is NULL; ``left_only`` columns exist on the left.  ``flag`` says
-    whether the right source has the record.  NULL keys match nothing: such rows
-    never enter the join, where they would all meet in one task.
+    whether the right source has the record.  NULL keys match nothing.
     """
     text, dates, left_only = list(text), list(dates), list(left_only)
     shared = text + dates
@@ -41,17 +40,9 @@ def full_outer_merge(
     right_side = right.select(
         key, *[F.col(c).alias(f"r_{c}") for c in shared], F.lit(True).alias("_right")
     )
-    has_key = F.col(key).isNotNull()
-    joined = (
-        skew.skew_join(
-            left_side.filter(has_key), right_side.filter(has_key), [key], "full_outer",
-            support, rows_per_task,
-        )
-        .unionByName(left_side.filter(~has_key), allowMissingColumns=True)
-        .unionByName(right_side.filter(~has_key), allowMissingColumns=True)
-    )
-    # A right row without key matched nothing and therefore carries no key.
-    present = F.col("_right").isNotNull() & has_key
+    joined = skew.skew_join(left_side, right_side, [key], "full_outer", support, rows_per_task)
+    # A right row without key matched nothing and counts as absent.
+    present = F.col("_right").isNotNull() & F.col(key).isNotNull()
     return joined.select(
         key,
         *[prefer(F.col(f"r_{c}"), F.col(f"l_{c}")).alias(c) for c in text],

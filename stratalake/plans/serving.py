@@ -25,17 +25,10 @@ def drug_codesets(
     ).distinct()
     right = products.withColumn("_product", F.col("rxnorm_rxcui"))
 
-    coded = left.filter(F.col("_code").isNotNull())
-    mapped = coded.join(bridge, "_code", "left")
-    known = F.col("_product").isNotNull()
-    joined = merge.union_all([
-        skew.skew_join(
-            mapped.filter(known), right.filter(known), ["_product"], "full_outer",
-            support, rows_per_task,
-        ),
-        mapped.filter(~known),
-        left.filter(F.col("_code").isNull()),
-    ]).withColumnRenamed("_code", "fda_ndc_11")
+    mapped = left.join(bridge, "_code", "left")
+    joined = skew.skew_join(
+        mapped, right, ["_product"], "full_outer", support, rows_per_task
+    ).withColumnRenamed("_code", "fda_ndc_11")
     present = set(joined.columns)
     wanted = [c for c in ds.CODESET_FDA + ds.CODESET_RXNORM if c in present]
     return joined.select(*wanted, F.lit(run_id).alias("meta_run_id"))

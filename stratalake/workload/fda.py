@@ -135,7 +135,7 @@ def unified(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = staged(
         fda.listed_packages(products(spark, sf_dir), packages(spark, sf_dir)), "listed-packages"
     )
-    return fda.unified_codes(nsde(spark, sf_dir), listed, RUN_ID)
+    return fda.unified_codes(staged(nsde(spark, sf_dir), "nsde"), listed, RUN_ID)
 
 
 def first_load(spark: SparkSession, sf_dir: str) -> DataFrame:

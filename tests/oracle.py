@@ -63,7 +63,7 @@ if __name__ == "__main__":
     folder = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
     spark = build_session("oracle", "local[8]", **{
         "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
-        "spark.driver.memory": "12g", "spark.sql.warehouse.dir": "/tmp/stratalake-warehouse",
+        "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "12g", "spark.sql.warehouse.dir": "/tmp/stratalake-warehouse",
     })
     spark.sparkContext.setLogLevel("OFF")
     database = connect(folder)
