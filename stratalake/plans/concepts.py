@@ -9,6 +9,7 @@ from stratalake.functions import text
 from stratalake.operators import columns, graph, merge, quality
 from stratalake.operators.aggregates import any_value, wrap_pack
 from stratalake.operators.graph import Route
+from stratalake.session import staged
 
 # Product types, home vocabulary and curated content view.
 PRODUCT_TYPES = ["SCD", "SBD", "GPCK", "BPCK"]
@@ -85,22 +86,28 @@ def ingredient_names(base: DataFrame, edges: DataFrame, walked: DataFrame) -> Da
     own = walked.filter(F.col("type") == "SCD").select(
         "id", merge.prefer(F.col("min"), F.col("pin"), F.col("in")).alias("ingredient_names")
     )
-    branded = graph.through_relation(
-        base.filter(F.col("type") == "SBD"), edges, own, "tradename_of", "ingredient_names"
+    related = graph.through_relation(
+        base, edges, own, {"SBD": "tradename_of", "GPCK": "contains", "BPCK": "contains"},
+        "ingredient_names",
     )
-    packed = graph.through_relation(
-        base.filter(F.col("type").isin(PACK_TYPES)), edges, own, "contains", "ingredient_names"
-    ).withColumn("ingredient_names", F.coalesce("ingredient_names", F.lit("")))
-    return merge.union_all([own, branded, packed])
+    # A pack without known members has an empty text, a brand without one has none.
+    names = F.when(F.col("type") == "SBD", F.col("ingredient_names")).otherwise(
+        F.coalesce("ingredient_names", F.lit(""))
+    )
+    return merge.union_all([own, related.select("id", names.alias("ingredient_names"))])
 
 
 def drug_products(
     rxnconso: DataFrame, rxnrel: DataFrame, rxnsat: DataFrame, empty_pack_as_null: bool = True
 ) -> DataFrame:
-    """One wide row per prescribable product."""
+    """One wide row per prescribable product.
+
+    The walks feed both the ingredient names and the other attributes, so their
+    result is written once instead of being walked twice.
+    """
     nodes, edges = concept_nodes(rxnconso), concept_edges(rxnrel)
     base = base_products(nodes)
-    walked = graph.walk_edges(base, edges, nodes, ROUTES)
+    walked = staged(graph.walk_edges(base, edges, nodes, ROUTES), "concept-walks")
     forms = merge.prefer(F.col("dosage_forms"), F.col("dosage_forms_all"))
     attributes = walked.select(
         "id",
