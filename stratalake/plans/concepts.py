@@ -181,6 +181,13 @@ def product_snapshot(products: DataFrame, source_table: str) -> DataFrame:
     )
 
 
+def mapping_snapshot(mappings: DataFrame, source_table: str, run_date: str) -> DataFrame:
+    """Mappings for versioning, with the release they came from."""
+    return columns.gold_lineage(
+        mappings, f"silver.{source_table}", run_date, release_column=True
+    )
+
+
 def class_snapshot(members: DataFrame, source_table: str, run_date: str) -> DataFrame:
     """Product classes for versioning under short names."""
     renamed = columns.rename_existing(

@@ -5,20 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.operators.items import to_documents
+from stratalake.operators.items import ITEM_KEY, item_partitions, to_documents
 from stratalake.operators.quality import QualityError
 
 # Share of failed token writes that fails a load.
 MAX_TOKEN_FAILURES = 0.01
 
 
-def write_items(df: DataFrame, path: str, item_kind: str, per_file: int = 5_000_000) -> None:
+def write_items(
+    df: DataFrame, path: str, item_kind: str, expected: int | None = None, per_task: int = 5000,
+    per_file: int = 5_000_000,
+) -> None:
     """Replace all items of a kind, other kinds stay.
 
-    Items are spread over tasks as they come, never by PK: all search items
-    share one.  ``per_file`` cuts files without counting first.
+    Items are spread over tasks without regard to their keys: all search items
+    share one PK.  With an ``expected`` count the writers get about ``per_task``
+    items each, otherwise items are written where they are and only files are cut.
     """
     documents = to_documents(df).withColumn("item_kind", F.lit(item_kind))
+    if expected is not None:
+        documents = documents.repartition(item_partitions(expected, per_task))
     (
         documents.write.mode("overwrite").option("compression", "zstd")
         .option("maxRecordsPerFile", per_file)
@@ -31,7 +37,9 @@ def read_items(spark: SparkSession, path: str, item_kind: str | None = None) ->
     return df if item_kind is None else df.filter(F.col("item_kind") == item_kind)
 
 
-def write_outcome(expected: DataFrame, written: DataFrame, keys: list[str]) -> DataFrame:
+def write_outcome(
+    expected: DataFrame, written: DataFrame, keys: list[str] = ITEM_KEY
+) -> DataFrame:
     """One row: items ``written`` and ``failed``, by comparing keys with the output."""
     found = written.select(*keys).distinct().withColumn("_found", F.lit(True))
     return expected.select(*keys).distinct().join(found, keys, "left").agg(
