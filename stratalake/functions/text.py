@@ -63,12 +63,19 @@ def strip_expressed_as(strength: Column, ingredient: Column) -> Column:
     ).otherwise(lowered)
 
 
+def words(value: Column) -> Column:
+    """Lower-case pieces of a text between token breaks, not yet filtered."""
+    return F.split(F.lower(value), TOKEN_BREAK)
+
+
+def is_token(word: Column) -> Column:
+    """Long enough and no stop word."""
+    return (F.length(word) >= MIN_TOKEN_LENGTH) & ~word.isin(STOP_WORDS)
+
+
 def tokens(value: Column) -> Column:
     """Lower-case search tokens of a text in reading order, repeats kept."""
-    words = F.split(F.lower(value), TOKEN_BREAK)
-    return F.filter(
-        words, lambda w: (F.length(w) >= MIN_TOKEN_LENGTH) & ~w.isin(STOP_WORDS)
-    )
+    return F.filter(words(value), is_token)
 
 
 def key_path(*pieces: Column | str) -> Column:

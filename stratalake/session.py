@@ -7,19 +7,21 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings every job needs for right results, whatever the cluster.
+# Settings every job wants, whatever the cluster.  Sizes (shuffle partitions, split
+# sizes, memory) are left to the cluster; adaptive execution merges and splits.
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
+    # A task writes its few partitions side by side instead of sorting its rows first.
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
 }
 
 
 def build_session(app: str = "stratalake", master: str | None = None, **conf: str) -> SparkSession:
-    """Session with the settings above; ``conf`` keys use ``_`` for ``.``-free names only."""
+    """Session with the settings above, which ``conf`` may override."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)

@@ -14,6 +14,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,8 +33,9 @@ class VersionedTable:
     """``path`` is a folder that all executors share.
 
     With ``buckets`` the rows are also bucketed by the key, under the catalog
-    name ``table``: the open rows are then read in key order and only the
-    arriving snapshot is shuffled by the next run.
+    name ``table``: the open rows are then read as the join needs them and only
+    the arriving snapshot is shuffled by the next run.  Buckets are not sorted,
+    since a scan does not tell the join about their order.
     """
 
     spark: SparkSession
@@ -58,9 +60,13 @@ class VersionedTable:
         return rows.orderBy("version")
 
     def _exists(self, folder: str) -> bool:
-        context = self.spark.sparkContext
-        path = context._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}")
-        return path.getFileSystem(context._jsc.hadoopConfiguration()).exists(path)
+        try:
+            self.spark.read.schema("x int").parquet(f"{self.path}/{folder}")
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return False
+            raise
+        return True
 
     def read(self, version: int | None = None) -> DataFrame | None:
         """The table after the given run, by default the last; None before the first."""
@@ -104,7 +110,7 @@ class VersionedTable:
         spark.sql(
             f"CREATE TABLE {self.table} ({columns}) USING parquet "
             f"PARTITIONED BY (load_id, status) "
-            f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.buckets} BUCKETS "
+            f"CLUSTERED BY ({keys}) INTO {self.buckets} BUCKETS "
             f"LOCATION '{self.path}/rows'"
         )
         if self._exists("rows"):
