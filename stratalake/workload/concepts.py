@@ -21,16 +21,6 @@ def _id(kind: str, *pieces: str) -> Column:
     return F.concat(F.lit(kind), F.concat_ws("_", *[text(p) for p in pieces]))
 
 
-def _concepts(df: DataFrame, key: Column, kind: str | Column, name: Column,
-              view: Column | None = None, suppress: Column | None = None) -> DataFrame:
-    return df.select(
-        key.alias("RXCUI"), F.lit("RXNORM").alias("SAB"),
-        (F.lit(kind) if isinstance(kind, str) else kind).alias("TTY"), name.alias("STR"),
-        (F.lit("N") if suppress is None else suppress).alias("SUPPRESS"),
-        (F.lit("4096") if view is None else view).alias("CVF"),
-    )
-
-
 SEVERAL = ["PROMO", "ECONOMY"]
 
 
@@ -39,30 +29,40 @@ def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def conso(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part, supplier = table(spark, sf_dir, "part"), table(spark, sf_dir, "supplier")
-    kind, size = F.col("p_type"), F.col("p_size")
-    brand = part.select("p_brand").distinct()
-    forms = part.select("p_type").distinct()
-    pack = table(spark, sf_dir, "orders").filter("o_orderstatus <> 'P'")
+    """Concepts; each table is read once for all kinds that it gives."""
+    def concept(key: Column, kind: str | Column, name: Column, view: Column | None = None,
+                suppress: Column | None = None) -> Column:
+        return F.struct(
+            key.alias("RXCUI"), (F.lit(kind) if isinstance(kind, str) else kind).alias("TTY"), name.alias("STR"),
+            (F.lit("N") if suppress is None else suppress).alias("SUPPRESS"),
+            (F.lit("4096") if view is None else view).alias("CVF"),
+        )
+
+    kind, size, brand = F.col("p_type"), F.col("p_size"), F.col("p_brand")
     suppressed = F.when(kind == "SMALL", "").when(kind != "LARGE", F.when(size == 50, "O").otherwise("N"))
-    return merge.union_all([
-        _concepts(part, _id("P", "p_partkey"), "SCD", F.concat_ws(" ", "p_name", text("p_size")),
-                  F.when(size > 2, "4096").otherwise(""), suppressed),
-        _concepts(part, _id("P", "p_partkey"), "PSN", F.upper("p_name"), F.when(size > 10, "4096")),
-        _concepts(_pairs(spark, sf_dir), _id("B", "l_partkey", "l_suppkey"), "SBD",
-                  F.concat(F.lit("brand "), text("l_partkey"), F.lit(" of "), text("l_suppkey"))),
-        _concepts(pack, _id("G", "o_orderkey"), F.when(F.col("o_orderstatus") == "F", "GPCK").otherwise("BPCK"),
-                  F.concat(F.lit("pack "), text("o_orderkey"))),
-        _concepts(brand, _id("I", "p_brand"), "IN", F.concat(F.lit("Ingredient "), "p_brand")),
-        _concepts(brand.filter(F.length("p_brand") == 7), _id("J", "p_brand"), "PIN",
-                  F.concat(F.lit("Precise "), "p_brand")),
-        _concepts(forms.filter(kind.isin(SEVERAL)), _id("M", "p_type"), "MIN", F.concat(F.lit("Several "), "p_type")),
-        _concepts(forms, _id("D", "p_type"), "DF", F.initcap("p_type")),
-        _concepts(supplier, _id("N", "s_suppkey"), "BN", F.col("s_name"),
-                  F.when(F.col("s_acctbal") > 3000, "4096")),
-        _concepts(supplier, _id("T", "s_suppkey"), "SBDF", F.concat(F.lit("form of "), "s_name")),
-        _concepts(part.select("p_name").distinct(), _id("S", "p_name"), "SCDF", F.col("p_name")),
-    ])
+    of_parts = table(spark, sf_dir, "part").select(F.inline(F.array(
+        concept(_id("P", "p_partkey"), "SCD", F.concat_ws(" ", "p_name", text("p_size")),
+                F.when(size > 2, "4096").otherwise(""), suppressed),
+        concept(_id("P", "p_partkey"), "PSN", F.upper("p_name"), F.when(size > 10, "4096")),
+        concept(_id("I", "p_brand"), "IN", F.concat(F.lit("Ingredient "), brand)),
+        concept(F.when(F.length(brand) == 7, _id("J", "p_brand")), "PIN", F.concat(F.lit("Precise "), brand)),
+        concept(F.when(kind.isin(SEVERAL), _id("M", "p_type")), "MIN", F.concat(F.lit("Several "), kind)),
+        concept(_id("D", "p_type"), "DF", F.initcap("p_type")),
+        concept(_id("S", "p_name"), "SCDF", F.col("p_name")),
+    ))).filter(F.col("RXCUI").isNotNull()).distinct()
+    of_suppliers = table(spark, sf_dir, "supplier").select(F.inline(F.array(
+        concept(_id("N", "s_suppkey"), "BN", F.col("s_name"), F.when(F.col("s_acctbal") > 3000, "4096")),
+        concept(_id("T", "s_suppkey"), "SBDF", F.concat(F.lit("form of "), "s_name")),
+    )))
+    of_pairs = _pairs(spark, sf_dir).select(F.inline(F.array(concept(
+        _id("B", "l_partkey", "l_suppkey"), "SBD",
+        F.concat(F.lit("brand "), text("l_partkey"), F.lit(" of "), text("l_suppkey")),
+    ))))
+    of_orders = table(spark, sf_dir, "orders").filter("o_orderstatus <> 'P'").select(F.inline(F.array(concept(
+        _id("G", "o_orderkey"), F.when(F.col("o_orderstatus") == "F", "GPCK").otherwise("BPCK"),
+        F.concat(F.lit("pack "), text("o_orderkey")),
+    ))))
+    return merge.union_all([of_parts, of_suppliers, of_pairs, of_orders]).withColumn("SAB", F.lit("RXNORM"))
 
 
 def rel(spark: SparkSession, sf_dir: str) -> DataFrame:
