@@ -1,8 +1,8 @@
 """stratalake: versioned reference data on plain Spark DataFrames.
 
-Every operator is a function from DataFrames to DataFrames.  Nothing in the
-library calls an action to make a decision, apart from the gates and writers
-that say so in their docstring.
+Every operator is a function from DataFrames to DataFrames.  Operators are lazy,
+apart from gates, writers, the lookup of hot keys and the few that write a result
+once because they read it repeatedly; each says so in its docstring.
 """
 
 __version__ = "0.1.0"
