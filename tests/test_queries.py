@@ -3,9 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from stratalake import workload
 from tests.oracle import compare, connect
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+workload.load_all()
+QUERIES, ORACLES = workload.QUERIES, workload.ORACLES
 
 
 @pytest.fixture(scope="module")
