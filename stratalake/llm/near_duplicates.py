@@ -11,11 +11,16 @@ At a similarity of 0.75 a pair shares none of the 32 bands with probability
 Texts of one set are one node.  Within a band's bucket, nodes are compared with
 the bucket's centre, the node that shares most over all of its bands, first by
 the estimate from the registers, corrected for registers that agree by chance,
-then exactly, on the full sets.  Pairs of a bucket that are still in different
-components are compared in a second round, so no link between candidates is
-lost, while a group of n copies costs n comparisons and not n squared.
+then exactly, on the full sets.  A group of n copies so costs n comparisons.
 Components are found by alternating star contraction on the confirmed links.
 
+Buckets that still hold several components get a second round.  What the first one
+measured bounds what any other pair can have in common: shingles that no other
+node of these buckets has, and shingles of the centre that a node has lost, which
+another node that kept them cannot share.  A pair is formed only if the bounds of
+both sides allow a link, in the first bucket that it shares; no link between
+candidates is lost, and groups of loosely similar texts do not meet pair by pair.
+
 Every round is written to the shared folder.  Nothing is collected: hot buckets
 are aggregated before they are shuffled, and joins are left to adaptive
 execution.
@@ -163,40 +168,105 @@ def sketch(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -
     return rows_by_batch(plain, schema, make)
 
 
-def bands(nodes: DataFrame) -> DataFrame:
-    """(band, node): a hash of each band of registers, and of its number."""
+def bands_of():
+    """Array of a hash of each band of registers, and of its number."""
     width = 2 * BAND
-    keys = F.transform(F.sequence(F.lit(0), F.lit(REGISTERS // BAND - 1)), lambda i: F.xxhash64(
+    return F.transform(F.sequence(F.lit(0), F.lit(REGISTERS // BAND - 1)), lambda i: F.xxhash64(
         i, F.col("registers").substr(i * width + 1, F.lit(width))))
-    return nodes.select(F.explode(keys).alias("band"), "node")
 
 
 def shared_bands(nodes: DataFrame) -> DataFrame:
     """Bands of several nodes, with their number of nodes."""
-    every = bands(nodes)
+    every = nodes.select(F.explode(bands_of()).alias("band"), "node")
     counts = every.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     return every.join(counts, "band")
 
 
-def centre_pairs(shared: DataFrame) -> DataFrame:
-    """(a, b): each node with the centre b of each of its buckets."""
+def bucket_centres(shared: DataFrame) -> DataFrame:
+    """(band, centre): the node of most company over all of its bands."""
     weights = shared.groupBy("node").agg(F.sum("size").alias("weight"))
     weighed = shared.select("band", "node").join(weights, "node")
-    centres = weighed.groupBy("band").agg(F.max(F.struct("weight", "node"))["node"].alias("b"))
-    return shared.select("band", "node").join(centres, "band").where("node <> b").select(
-        F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
+    return weighed.groupBy("band").agg(F.max(F.struct("weight", "node"))["node"].alias("centre"))
+
+
+def centre_pairs(shared: DataFrame, centres: DataFrame) -> DataFrame:
+    """(a, b): each node with the centre of each of its buckets."""
+    return shared.select("band", "node").join(centres, "band").where("node <> centre").select(
+        F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
 
 
-def crossing_pairs(shared: DataFrame, components: DataFrame, tested: DataFrame) -> DataFrame:
-    """(a, b): pairs that share a bucket, lie in different components and were not compared."""
-    placed = shared.select("band", "node").join(components, "node", "left").withColumn(
+def mixed_buckets(shared: DataFrame, linked: DataFrame) -> DataFrame:
+    """(band, node, component) of buckets that hold several components."""
+    placed = shared.select("band", "node").join(linked, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     mixed = placed.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-    mixed = staged(placed.join(mixed.select("band"), "band"), "near-mixed")
-    left, right = mixed.alias("l"), mixed.alias("r")
-    pairs = left.join(right, "band").where("l.component < r.component").select(
-        F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b")).distinct()
-    return pairs.join(tested, ["a", "b"], "left_anti")
+    return placed.join(mixed.select("band"), "band")
+
+
+def alone(texts: DataFrame) -> DataFrame:
+    """(node, alone): shingles that no other of these nodes has, where there are any."""
+    schema = T.StructType([T.StructField("node", T.BinaryType()), T.StructField("shingle", T.LongType())])
+
+    def make(batches):
+        for batch in batches:
+            nodes, items = [], []
+            for node, text in zip(batch.column("node").to_pylist(), utf8(batch, "text")):
+                found = shingles(text)
+                nodes += [node] * len(found)
+                items.append(found)
+            yield {"node": nodes, "shingle": (np.concatenate(items) if items else np.empty(0, np.uint64)).view(np.int64)}
+
+    single = rows_by_batch(texts.select("node", "text"), schema, make).groupBy("shingle").agg(
+        F.count(F.lit(1)).alias("n"), F.min("node").alias("node")).where("n = 1")
+    return single.groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
+
+
+def crossing_pairs(
+    mixed: DataFrame, nodes: DataFrame, centres: DataFrame, measured: DataFrame, unique: DataFrame,
+    tested: DataFrame,
+) -> DataFrame:
+    """(a, b): pairs of different components that share a bucket and may be linked.
+
+    With sizes x and y, a link needs c >= p (x + y) / (p + q) common shingles for a similarity of
+    p / q.  Two bounds on what y has and x has not rule pairs out.
+
+    * What is alone in x or in y is not common.
+    * Of the centre's shingles that x has lost, y has all but those it has lost itself; what is
+      alone in y comes on top, as the centre has it not.
+    """
+    p, q = LEAST
+    sizes = nodes.select("node", F.col("n_shingles").alias("n"), bands_of().alias("bands"))
+    centre_sizes = nodes.select(F.col("node").alias("centre"), F.col("n_shingles").alias("centre_n"))
+    common = measured.select(F.col("a").alias("ma"), F.col("b").alias("mb"), "common")
+    known = (
+        mixed.join(sizes, "node").join(unique, "node", "left").withColumn("alone", F.coalesce("alone", F.lit(0)))
+        .join(centres, "band").join(centre_sizes, "centre")
+        .join(common, (F.least("node", "centre") == F.col("ma")) & (F.greatest("node", "centre") == F.col("mb")), "left")
+    )
+    is_centre = F.col("node") == F.col("centre")
+    lost = F.when(is_centre, 0).otherwise(F.col("centre_n") - F.col("common"))
+    spare = F.when(is_centre, 0).otherwise(F.coalesce(lost, F.col("centre_n")) - F.col("alone"))
+    bounded = known.select(
+        "band", "node", "component", "n",
+        ((p + q) * (F.col("n") - F.col("alone")) - p * F.col("n")).alias("room"),
+        ((p + q) * F.coalesce(lost, F.lit(0)) + p * F.col("n")).alias("needs"),
+        (q * F.col("n") + (p + q) * spare).alias("gives"),
+        F.expr("slice(bands, 1, cast(array_position(bands, band) - 1 as int))").alias("earlier"))
+    # First against the extremes of the bucket, then pair by pair.
+    extremes = bounded.groupBy("band").agg(
+        F.min("n").alias("least_n"), F.max("gives").alias("most"), F.min("needs").alias("least_needs"))
+    able = bounded.join(extremes, "band").where(
+        (F.col("room") >= p * F.col("least_n")) & (F.col("needs") <= F.col("most"))
+        & (F.col("gives") >= F.col("least_needs"))).drop("least_n", "most", "least_needs")
+    able = staged(able, "near-able")
+    left, right = able.alias("l"), able.alias("r")
+    pairs = left.join(right, "band").where(
+        (F.col("l.component") < F.col("r.component"))
+        & (F.col("l.room") >= p * F.col("r.n")) & (F.col("r.room") >= p * F.col("l.n"))
+        & (F.col("l.needs") <= F.col("r.gives")) & (F.col("r.needs") <= F.col("l.gives"))
+        & ~F.arrays_overlap("l.earlier", "r.earlier"))
+    return pairs.select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b")).join(
+        tested, ["a", "b"], "left_anti")
 
 
 def likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -220,34 +290,34 @@ def likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return rows_by_batch(sized.select("a", "b", "ra", "rb", "na", "nb"), schema, make)
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs that are linked, by their full sets."""
-    schema = T.StructType([T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType())])
+def measured_pairs(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs with their common shingles, counted on the full sets, and whether they are linked."""
+    schema = T.StructType([T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType()),
+                           T.StructField("common", T.LongType()), T.StructField("linked", T.BooleanType())])
     both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(
         texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
 
     def make(batches):
         last, mine = None, None
         for batch in batches:
-            out = {"a": [], "b": []}
+            out = {n: [] for n in schema.names}
             ids = zip(batch.column("a").to_pylist(), batch.column("b").to_pylist())
             for (a, b), one, other in zip(ids, utf8(batch, "text_a"), utf8(batch, "text_b")):
                 if b != last:
                     # Rows come in order of b, so its set is made once.
                     last, mine = b, shingles(other)
                 theirs = shingles(one)
-                common = len(theirs) + len(mine) - len(np.union1d(theirs, mine))
-                if LEAST[1] * common >= LEAST[0] * (len(theirs) + len(mine) - common):
-                    out["a"].append(a)
-                    out["b"].append(b)
+                total = len(theirs) + len(mine)
+                common = total - len(np.union1d(theirs, mine))
+                for n, value in zip(schema.names, (a, b, common, LEAST[1] * common >= LEAST[0] * (total - common))):
+                    out[n].append(value)
             yield out
 
     return rows_by_batch(both.select("a", "b", "text_a", "text_b"), schema, make)
 
 
-def node_texts(docs: DataFrame, sketches: DataFrame, pairs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(node, text): one text of each node in ``pairs``."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+def node_texts(docs: DataFrame, sketches: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(node, text): one text of each node in ``wanted``."""
     holders = sketches.join(wanted, "node").groupBy("node").agg(F.min(F.struct("row", "doc_id")).alias("h")).select(
         "node", "h.row", F.col("h.doc_id").alias("holder"))
     plain = docs.select(column(id_col).alias("doc_id"), row_hash(docs).alias("row"),
@@ -283,15 +353,18 @@ def find_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: s
         F.min("doc_id").alias("least_id"), F.max("n_shingles").alias("n_shingles"),
         F.max("registers").alias("registers")), "near-nodes")
     shared = staged(shared_bands(nodes), "near-bands")
-    tested = staged(centre_pairs(shared), "near-pairs")
-    first = staged(likely(tested, nodes), "near-likely")
-    texts = staged(node_texts(docs, sketches, first, id_col, text_col), "near-texts")
-    links = staged(confirmed(first, texts), "near-links")
+    centres = staged(bucket_centres(shared), "near-centres")
+    tested = staged(centre_pairs(shared, centres), "near-pairs")
+    texts = staged(node_texts(docs, sketches, shared.select("node").distinct(), id_col, text_col), "near-texts")
+    first = staged(measured_pairs(likely(tested, nodes), texts), "near-measured")
+    links = first.where("linked").select("a", "b")
     linked = components(links)
-    second = staged(likely(crossing_pairs(shared, linked, tested), nodes), "near-likely")
+    mixed = staged(mixed_buckets(shared, linked), "near-mixed")
+    unique = alone(texts.join(mixed.select("node").distinct(), "node"))
+    crossing = crossing_pairs(mixed, nodes, centres, first, unique, tested)
+    second = staged(measured_pairs(likely(crossing, nodes), texts), "near-measured").where("linked").select("a", "b")
     if not second.isEmpty():
-        texts = staged(node_texts(docs, sketches, second, id_col, text_col), "near-texts")
-        linked = components(links.unionByName(confirmed(second, texts)))
+        linked = components(links.unionByName(second))
     named = nodes.select("node", "least_id").join(linked, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     smallest = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
