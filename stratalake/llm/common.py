@@ -43,6 +43,13 @@ def utf8(batch: pa.RecordBatch, name: str) -> list[bytes]:
     return [v or b"" for v in values.to_pylist()]
 
 
+def smaller(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces, so that few texts at a time are copied out of Arrow."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def append_by_batch(
     df: DataFrame, name: str, kind: T.DataType, make: Callable[[pa.RecordBatch], list]
 ) -> DataFrame:
@@ -51,7 +58,7 @@ def append_by_batch(
     arrow_kind = to_arrow_type(kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in smaller(batches):
             made = pa.array(make(batch), arrow_kind)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, made], names=[*batch.schema.names, name])
@@ -66,7 +73,7 @@ def rows_by_batch(
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for columns in make(batches):
+        for columns in make(smaller(batches)):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(columns[f.name], f.type) for f in arrow], names=arrow.names)
 

@@ -44,7 +44,7 @@ LENGTH = 200
 DEPTHS = (100, 168, 200)
 # Bytes hashed at a time, and rows that a task gathers before it looks for equal ones.
 PIECE = 1 << 18
-GATHER = 2_000_000
+GATHER = 300_000
 
 # A place: 24 bits that tell documents of one hash apart, first byte, windows - 1.
 _LO, _TAG = 8, 39
