@@ -15,13 +15,16 @@ SEPARATOR = "|"
 def canonical_text(df: DataFrame, name: str) -> Column:
     """Engine-independent text of a column; NULL becomes ``''``.
 
-    Floating point goes through a decimal so that the text does not depend on
-    how an engine prints doubles.
+    Floating point goes through a decimal with six digits so that the text does not
+    depend on how an engine prints doubles; a number which that would change keeps its
+    shortest exact form instead, so different numbers never share a text.
     """
     kind = df.schema[name].dataType
     value = F.col(f"`{name}`")
     if isinstance(kind, (T.DoubleType, T.FloatType)):
-        text = value.try_cast("decimal(38,6)").cast("string")
+        decimal = value.try_cast("decimal(38,6)")
+        exact = decimal.cast(kind) == value
+        text = F.when(exact, decimal.cast("string")).otherwise(value.cast("string"))
     elif isinstance(kind, T.DateType):
         text = F.date_format(value, "yyyy-MM-dd")
     elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
@@ -31,9 +34,16 @@ def canonical_text(df: DataFrame, name: str) -> Column:
     return F.coalesce(text, F.lit(""))
 
 
-def fingerprint(df: DataFrame, names: Iterable[str]) -> Column:
-    """Hex MD5 over the columns in the given order."""
-    return F.md5(F.concat_ws(SEPARATOR, *[canonical_text(df, n) for n in names]))
+def fingerprint(df: DataFrame, names: Iterable[str], escape: bool = False) -> Column:
+    """Hex MD5 over the columns in the given order.
+
+    The default is the documented form, in which ("a|b", "c") and ("a", "b|c") are one text;
+    with ``escape`` separators inside values are marked, and they differ.
+    """
+    parts = [canonical_text(df, n) for n in names]
+    if escape:
+        parts = [F.regexp_replace(p, r"([\\\\|])", r"\\\\$1") for p in parts]
+    return F.md5(F.concat_ws(SEPARATOR, *parts))
 
 
 def name_based_id(*pieces: Column) -> Column:

@@ -31,6 +31,8 @@ VOLATILE_COLUMNS = [
     "content_hash", "active_from", "active_to", "status", "updated_at", "created_at",
 ]
 NEW, CHANGED, EXPIRED, UNCHANGED = "NEW", "CHANGED", "EXPIRED", "UNCHANGED"
+# Open rows whose key arrived, but in rows that could not be used.
+HELD = "HELD"
 
 # Type changes that a column may go through from one run to the next.
 _WIDENINGS = {
@@ -84,16 +86,35 @@ def checked_keys(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
 
 
 def split_bad_keys(df: DataFrame, key: str | Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """(usable rows, rejected rows): rejects have a NULL key or share their key."""
+    """(usable rows, rejected rows): rejects have a NULL key or share their key.
+
+    One aggregate gives the usable rows: a key of one row is that row.  Only repeated keys are
+    looked up again.
+    """
     keys = as_keys(key)
     complete = df.filter(_all_present(keys))
-    incomplete = df.filter(~_all_present(keys))
+    rest = [c for c in df.columns if c not in keys]
+    grouped = complete.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), F.first(F.struct(F.lit(1).alias("_one"), *rest)).alias("_row"))
+    usable = grouped.filter("_n = 1").select(
+        *[F.col(c) if c in keys else F.col(f"_row.`{c}`").alias(c) for c in df.columns])
     repeated = complete.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    usable = complete.join(repeated, keys, "left_anti")
-    rejected = incomplete.unionByName(complete.join(repeated, keys, "left_semi"))
+    rejected = df.filter(~_all_present(keys)).unionByName(complete.join(repeated, keys, "left_semi"))
     return usable, rejected
 
 
+def with_reason(rejected: DataFrame, key: str | Sequence[str]) -> DataFrame:
+    """Rejected rows with ``reject_reason``: a key that is missing or that repeats."""
+    return rejected.withColumn(
+        "reject_reason", F.when(_all_present(as_keys(key)), "repeated key").otherwise("missing key"))
+
+
+def held_keys(rejected: DataFrame, key: str | Sequence[str]) -> DataFrame:
+    """Complete keys among the rejects: they arrived, so their open rows must not be closed."""
+    keys = as_keys(key)
+    return rejected.filter(_all_present(keys)).select(*keys).distinct()
+
+
 def _all_present(keys: Sequence[str]) -> Column:
     present = F.lit(True)
     for name in keys:
@@ -113,8 +134,14 @@ def _agreed_type(column: str, old: T.DataType | None, new: T.DataType | None) ->
 
 
 def next_schema(existing: DataFrame | None, incoming: DataFrame) -> T.StructType:
-    """Fields of the next table: stored order first, added columns before the version columns."""
+    """Fields of the next table: stored order first, added columns before the version columns.
+
+    A source column named like a version column is an error, as the table could not keep it.
+    """
     managed = VERSION_COLUMNS + RUN_COLUMNS
+    reserved = [c for c in incoming.columns if c in VERSION_COLUMNS]
+    if reserved:
+        raise ValueError(f"source columns have names of version columns: {reserved}")
     old = {f.name: f.dataType for f in existing.schema} if existing is not None else {}
     new = {f.name: f.dataType for f in incoming.schema if f.name not in managed}
     names = [n for n in old if n not in managed] + [n for n in new if n not in old]
@@ -131,6 +158,7 @@ def match_versions(
     business_columns: Sequence[str],
     check_keys: bool = True,
     with_rows: bool = True,
+    held: DataFrame | None = None,
 ) -> DataFrame:
     """(key, change, _old, _new): open rows against the snapshot.
 
@@ -138,7 +166,8 @@ def match_versions(
     where a side is missing; without ``with_rows`` they hold the hash alone, so
     that only keys and hashes are shuffled.  When the snapshot brings a business column that
     the table lacks, stored rows are hashed anew with that column empty, so that
-    only rows with a value in it count as changed.
+    only rows with a value in it count as changed.  Open rows of ``held`` keys stay as
+    they are instead of expiring.
     """
     keys = as_keys(key)
     schema = next_schema(existing, incoming)
@@ -176,8 +205,13 @@ def match_versions(
         stored = stored.withColumn("content_hash", fingerprint(stored, hashed))
     old = packed(stored, "_old")
     joined = old.join(new, keys, "full_outer")
+    if held is None:
+        joined = joined.withColumn("_held", F.lit(False))
+    else:
+        joined = joined.join(held.select(*keys, F.lit(True).alias("_held")), keys, "left")
     change = (
         F.when(F.col("_old").isNull(), NEW)
+        .when(F.col("_new").isNull() & F.coalesce("_held", F.lit(False)), HELD)
         .when(F.col("_new").isNull(), EXPIRED)
         .when(F.col("_old.content_hash") == F.col("_new.content_hash"), UNCHANGED)
         .otherwise(CHANGED)
@@ -212,7 +246,7 @@ def open_and_closed(
         (F.col(f"_new.{n}") if n in carried else opening[n]).alias(n) for n in fields
     ])
     rows = (
-        F.when(F.col("change") == UNCHANGED, F.array(kept))
+        F.when(F.col("change").isin(UNCHANGED, HELD), F.array(kept))
         .when(F.col("change") == EXPIRED, F.array(closed))
         .when(F.col("change") == NEW, F.array(opened))
         .otherwise(F.array(closed, opened))
@@ -228,9 +262,10 @@ def scd2_apply(
     run_date: str,
     run_id: str,
     check_keys: bool = True,
+    held: DataFrame | None = None,
 ) -> DataFrame:
-    """The complete next table after one snapshot."""
-    matched = match_versions(existing, incoming, key, business_columns, check_keys)
+    """The complete next table after one snapshot; ``held`` keys keep their open rows."""
+    matched = match_versions(existing, incoming, key, business_columns, check_keys, held=held)
     rows = open_and_closed(matched, key, run_date, run_id)
     if existing is None:
         return rows

@@ -5,7 +5,7 @@ from __future__ import annotations
 import posixpath
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from stratalake.operators import quality, versioning
 from stratalake.plans import datasets as ds
@@ -59,5 +59,21 @@ def run_daily(
         spark, posixpath.join(layout.gold, "fda_all_ndcs"), ds.FDA_KEY, ds.FDA_BUSINESS,
         buckets, "fda_all_ndcs" if buckets else None,
     )
-    usable, _ = versioning.split_bad_keys(fda.snapshot(silver, "fda_all_ndcs", run_date), ds.FDA_KEY)
-    return gold.apply(usable, run_date, run_id)
+    return apply_snapshot(
+        gold, fda.snapshot(silver, "fda_all_ndcs", run_date),
+        posixpath.join(layout.gold, "rejects", "fda_all_ndcs"), run_date, run_id,
+    )
+
+
+def apply_snapshot(
+    gold: VersionedTable, snapshot: DataFrame, reject_path: str, run_date: str, run_id: str
+) -> dict:
+    """Version the usable rows, keep the rejects of the run, and count them.
+
+    Every row of the snapshot is used or rejected.  A key that arrived only in rejected rows is
+    held: its open version stays open.
+    """
+    usable, rejected = versioning.split_bad_keys(snapshot, gold.key)
+    count = tables.write_rejects(versioning.with_reason(rejected, gold.key), reject_path, run_id)
+    held = versioning.held_keys(rejected, gold.key) if count else None
+    return {**gold.apply(usable, run_date, run_id, held=held), "rejected": count}

@@ -92,10 +92,11 @@ def snapshot(unified: DataFrame, source_table: str, run_date: str) -> DataFrame:
 def versioned(
     existing: DataFrame | None, snapshot_rows: DataFrame, run_date: str, run_id: str
 ) -> DataFrame:
-    """Next versioned table; unusable keys (NULL or repeated) stay out."""
-    usable, _ = versioning.split_bad_keys(snapshot_rows, ds.FDA_KEY)
+    """Next versioned table; unusable keys (NULL or repeated) stay out, and open rows of theirs stay."""
+    usable, rejected = versioning.split_bad_keys(snapshot_rows, ds.FDA_KEY)
     return versioning.scd2_apply(
-        existing, usable, ds.FDA_KEY, ds.FDA_BUSINESS, run_date, run_id, check_keys=False
+        existing, usable, ds.FDA_KEY, ds.FDA_BUSINESS, run_date, run_id, check_keys=False,
+        held=None if existing is None else versioning.held_keys(rejected, ds.FDA_KEY),
     )
 
 

@@ -7,10 +7,10 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratalake.operators import columns, quality, versioning
+from stratalake.operators import columns, quality
 from stratalake.plans import concepts
 from stratalake.plans import datasets as ds
-from stratalake.plans.daily import Layout
+from stratalake.plans.daily import Layout, apply_snapshot
 from stratalake.sinks import tables
 from stratalake.sinks.versioned import VersionedTable
 from stratalake.sources import documents, files
@@ -22,6 +22,9 @@ GOLD_TABLES = {
     "rxnorm_product_classifications": (ds.CLASSES_KEY, ds.CLASSES_BUSINESS),
 }
 
+# Tables of a release that the products are made from.
+REQUIRED_TABLES = ("RXNCONSO", "RXNREL", "RXNSAT")
+
 
 def stored(df: DataFrame, path: str) -> DataFrame:
     """Write a layer's table and go on from what was written."""
@@ -43,6 +46,9 @@ def run_monthly(
     frames = files.load_positional_set(
         spark, release_files, ds.POSITIONAL_LAYOUTS, ds.POSITIONAL_LAYOUTS, run_id, release_date
     )
+    missing = [t for t in REQUIRED_TABLES if t not in frames]
+    if missing:
+        raise quality.QualityError(f"the release lacks rows of {missing}")
     bronze = {
         name: stored(df, posixpath.join(layout.bronze, "rxnorm", name))
         for name, df in frames.items()
@@ -78,8 +84,9 @@ def run_monthly(
         gold = VersionedTable(
             spark, posixpath.join(layout.gold, name), key, business, buckets, name if buckets else None
         )
-        usable, _ = versioning.split_bad_keys(snapshot, key)
-        statistics[name] = gold.apply(usable, run_date, run_id)
+        statistics[name] = apply_snapshot(
+            gold, snapshot, posixpath.join(layout.gold, "rejects", name), run_date, run_id
+        )
     return statistics
 
 

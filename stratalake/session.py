@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,20 +30,12 @@ def build_session(app: str = "stratalake", master: str | None = None, **conf: st
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder that driver and executors both see, named by ``spark.checkpoint.dir``.
+    """Folder that driver and executors both see: ``spark.checkpoint.dir``, else one in the warehouse.
 
-    Only a local master may fall back to a temporary folder; on a cluster a
-    machine-local path would be lost with its machine.
+    The same rule for every master; nothing is kept on a machine's own disk unless these settings say so.
     """
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="stratalake-")
-    context.setCheckpointDir(folder)
-    return folder
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared").rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

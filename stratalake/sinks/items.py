@@ -16,19 +16,22 @@ def write_items(
     df: DataFrame, path: str, item_kind: str, expected: int | None = None, per_task: int = 5000,
     per_file: int = 5_000_000,
 ) -> None:
-    """Replace all items of a kind, other kinds stay.
+    """Replace all items of a kind, also with none; other kinds stay.
+
+    An item key is written once: of several documents the last in text order stays.
 
     Items are spread over tasks without regard to their keys: all search items
     share one PK.  With an ``expected`` count the writers get about ``per_task``
     items each, otherwise items are written where they are and only files are cut.
     """
-    documents = to_documents(df).withColumn("item_kind", F.lit(item_kind))
+    documents = to_documents(df).groupBy(*ITEM_KEY).agg(F.max("document").alias("document"))
     if expected is not None:
         documents = documents.repartition(item_partitions(expected, per_task))
     (
         documents.write.mode("overwrite").option("compression", "zstd")
         .option("maxRecordsPerFile", per_file)
-        .option("partitionOverwriteMode", "dynamic").partitionBy("item_kind").parquet(path)
+        .option("partitionOverwriteMode", "static")
+        .parquet(f"{path.rstrip('/')}/item_kind={item_kind}")
     )
 
 

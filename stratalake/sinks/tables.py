@@ -29,6 +29,13 @@ def replace_partitions(df: DataFrame, path: str, partition: str, codec: str = CO
     )
 
 
+def write_rejects(df: DataFrame, path: str, run_id: str, codec: str = CODEC) -> int:
+    """Keep a run's rejected rows, replacing those of an earlier attempt; their number."""
+    folder = f"{path.rstrip('/')}/reject_run_id={run_id}"
+    overwrite(df, folder, codec)
+    return df.sparkSession.read.schema(df.schema).parquet(folder).count()
+
+
 def append_batch(df: DataFrame, path: str, batch_id: str, codec: str = CODEC) -> None:
     """Add a staging batch under its own ``ingestion_batch_id``.
 

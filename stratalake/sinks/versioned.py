@@ -119,17 +119,20 @@ class VersionedTable:
     # -- writing -----------------------------------------------------------
 
     def apply(
-        self, incoming: DataFrame, run_date: str, run_id: str, skip_unchanged: bool = True
+        self, incoming: DataFrame, run_date: str, run_id: str, skip_unchanged: bool = True,
+        held: DataFrame | None = None,
     ) -> dict:
         """Version one complete snapshot and return the run's statistics.
 
+        Keys in ``held`` arrived in rows that could not be used; their open rows stay.
+
         A first narrow job joins keys and hashes only.  It finds bad keys before
         anything is written, yields the statistics, and lets a run without
         changes end there.  The second job writes the load.
         """
         existing = self.read()
         matched = v.match_versions(
-            existing, incoming, self.key, self.business_columns, with_rows=False
+            existing, incoming, self.key, self.business_columns, with_rows=False, held=held
         )
         stats = v.change_stats(matched).first().asDict()
         touched = stats["new"] + stats["changed"] + stats["expired"]
@@ -138,7 +141,8 @@ class VersionedTable:
         version = 1 + max((r.version for r in self.commits().collect()), default=0)
         load_id = f"{version:08d}-{uuid.uuid4().hex[:8]}"
         rows = v.open_and_closed(
-            v.match_versions(existing, incoming, self.key, self.business_columns, check_keys=False),
+            v.match_versions(existing, incoming, self.key, self.business_columns, check_keys=False,
+                             held=held),
             self.key, run_date, run_id,
         )
         self._write(rows.withColumn("load_id", F.lit(load_id)), first=existing is None)

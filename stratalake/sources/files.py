@@ -60,17 +60,29 @@ def load_delimited_set(
     spark: SparkSession, folder: str, files: Mapping[str, str], run_id: str,
     delimiter: str = ",", schemas: Mapping[str, Mapping] | None = None,
 ) -> dict[str, DataFrame]:
-    """Typed frames of a drop by table name, stamped with the run."""
+    """Typed frames of a drop by table name, stamped with the run.
+
+    Landed files are matched by base name without regard to case; several files of a table are
+    read together.
+    """
     schemas = schemas or {}
-    return {
-        table: stamp(
-            apply_schema(
-                read_delimited(spark, posixpath.join(folder, name), delimiter), schemas.get(table)
-            ),
-            meta_run_id=run_id,
+    matched = match_files(landed_paths(spark, folder), files)
+    lost = {t for t in files.values() if t not in matched.values()}
+    frames: dict[str, DataFrame] = {}
+    # A configured file that did not land is read by its name, which fails with that name.
+    named = [(posixpath.join(folder, n), t) for n, t in files.items() if t in lost]
+    for path, table in sorted(matched.items()) + named:
+        df = stamp(
+            apply_schema(read_delimited(spark, path, delimiter), schemas.get(table)), meta_run_id=run_id
         )
-        for name, table in files.items()
-    }
+        frames[table] = frames[table].unionByName(df, allowMissingColumns=True) if table in frames else df
+    return {t: frames[t] for t in dict.fromkeys(files.values())}
+
+
+def landed_paths(spark: SparkSession, folder: str) -> list[str]:
+    """Files of one drop: a listing, their content is not read."""
+    listed = spark.read.format("binaryFile").load(folder).select("path")
+    return [row.path for row in listed.collect()]
 
 
 def load_positional_set(
@@ -94,7 +106,8 @@ def load_positional_set(
         if df.isEmpty():
             log.warning("no data in %s, skipped", path)
             continue
-        frames[table] = stamp(df, meta_run_id=run_id, meta_release_date=release_date)
+        df = stamp(df, meta_run_id=run_id, meta_release_date=release_date)
+        frames[table] = frames[table].unionByName(df) if table in frames else df
     return frames
 
 
