@@ -25,7 +25,6 @@ def full_outer_merge(
     dates: Iterable[str] = (),
     left_only: Iterable[str] = (),
     flag: str = "in_right",
-    support: float = skew.SUPPORT,
     rows_per_task: int = skew.ROWS_PER_TASK,
 ) -> DataFrame:
     """Union of two sources on a key, the right side preferred column by column.
@@ -40,7 +39,7 @@ def full_outer_merge(
     right_side = right.select(
         key, *[F.col(c).alias(f"r_{c}") for c in shared], F.lit(True).alias("_right")
     )
-    joined = skew.skew_join(left_side, right_side, [key], "full_outer", support, rows_per_task)
+    joined = skew.skew_join(left_side, right_side, [key], "full_outer", rows_per_task)
     # A right row without key matched nothing and counts as absent.
     present = F.col("_right").isNotNull() & F.col(key).isNotNull()
     return joined.select(

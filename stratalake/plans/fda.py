@@ -59,7 +59,7 @@ def listed_packages(products: DataFrame, packages: DataFrame) -> DataFrame:
 
 def unified_codes(
     nsde: DataFrame, listed: DataFrame, run_id: str,
-    support: float = skew.SUPPORT, rows_per_task: int = skew.ROWS_PER_TASK,
+    rows_per_task: int = skew.ROWS_PER_TASK,
 ) -> DataFrame:
     """All codes of both sources; a row that only the second has carries ``run_id``.
 
@@ -72,7 +72,7 @@ def unified_codes(
     merged = merge.full_outer_merge(
         listed, right, "ndc_11",
         text=_MERGED_TEXT, dates=_MERGED_DATES, left_only=_LEFT_ONLY, flag="nsde_flag",
-        support=support, rows_per_task=rows_per_task,
+        rows_per_task=rows_per_task,
     )
     return merged.select(
         "ndc_11", "marketing_category", "product_type", "proprietary_name", "dosage_form",

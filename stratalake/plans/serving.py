@@ -12,7 +12,7 @@ from stratalake.plans import datasets as ds
 
 def drug_codesets(
     codes: DataFrame, mappings: DataFrame, products: DataFrame, run_id: str,
-    support: float = skew.SUPPORT, rows_per_task: int = skew.ROWS_PER_TASK,
+    rows_per_task: int = skew.ROWS_PER_TASK,
 ) -> DataFrame:
     """Package codes, mappings and products side by side; either side may be missing.
 
@@ -27,7 +27,7 @@ def drug_codesets(
 
     mapped = left.join(bridge, "_code", "left")
     joined = skew.skew_join(
-        mapped, right, ["_product"], "full_outer", support, rows_per_task
+        mapped, right, ["_product"], "full_outer", rows_per_task
     ).withColumnRenamed("_code", "fda_ndc_11")
     present = set(joined.columns)
     wanted = [c for c in ds.CODESET_FDA + ds.CODESET_RXNORM if c in present]
