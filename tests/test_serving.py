@@ -32,7 +32,7 @@ def test_search_against_brute_force(spark, match_all, rows_per_task):
     asked = [(j, " ".join(chance.sample(WORDS, chance.randint(0, 3)))) for j in range(12)] + [(99, "tablet nowhere")]
     index = search.token_index(spark.createDataFrame(texts, "id int, t string"), F.col("id"), {"t": "t"})
     got = search.search(
-        spark.createDataFrame(asked, "query_id int, query string"), index, match_all, 0.01, rows_per_task
+        spark.createDataFrame(asked, "query_id int, query string"), index, match_all, rows_per_task
     )
     want = []
     for j, q in asked:
