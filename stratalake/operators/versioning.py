@@ -159,6 +159,7 @@ def match_versions(
     check_keys: bool = True,
     with_rows: bool = True,
     held: DataFrame | None = None,
+    rehash: bool = False,
 ) -> DataFrame:
     """(key, change, _old, _new): open rows against the snapshot.
 
@@ -166,8 +167,9 @@ def match_versions(
     where a side is missing; without ``with_rows`` they hold the hash alone, so
     that only keys and hashes are shuffled.  When the snapshot brings a business column that
     the table lacks, stored rows are hashed anew with that column empty, so that
-    only rows with a value in it count as changed.  Open rows of ``held`` keys stay as
-    they are instead of expiring.
+    only rows with a value in it count as changed.  ``rehash`` does so whenever the hashed
+    columns differ from those that the stored hashes were made of.  Open rows of ``held`` keys
+    stay as they are instead of expiring.
     """
     keys = as_keys(key)
     schema = next_schema(existing, incoming)
@@ -199,7 +201,7 @@ def match_versions(
             *keys, F.lit(NEW).alias("change"),
             F.lit(None).cast(stored.schema).alias("_old"), "_new",
         )
-    evolved = any(c not in existing.columns for c in hashed)
+    evolved = rehash or any(c not in existing.columns for c in hashed)
     stored = shaped(existing.filter(F.col("status") == CURRENT), list(schema))
     if evolved:
         stored = stored.withColumn("content_hash", fingerprint(stored, hashed))
@@ -263,9 +265,12 @@ def scd2_apply(
     run_id: str,
     check_keys: bool = True,
     held: DataFrame | None = None,
+    rehash: bool = False,
 ) -> DataFrame:
     """The complete next table after one snapshot; ``held`` keys keep their open rows."""
-    matched = match_versions(existing, incoming, key, business_columns, check_keys, held=held)
+    matched = match_versions(
+        existing, incoming, key, business_columns, check_keys, held=held, rehash=rehash
+    )
     rows = open_and_closed(matched, key, run_date, run_id)
     if existing is None:
         return rows

@@ -1,10 +1,13 @@
 """A versioned table kept as append-only parquet loads.
 
-Each run adds one load: the complete set of open rows (``status=current``) and
-the rows which that run closed (``status=historical``).  History is written once
-and never rewritten; earlier loads stay readable, which gives time travel.  A
-load counts once its row is in the commit table, so a run that dies half-way
-leaves files that nobody reads.  One writer at a time is assumed.
+Each run adds one load with what it changed: the rows it opened (``status=current``)
+and those it closed (``status=historical``).  Nothing is rewritten.  A stored row is
+open unless a later load closed a row of its key, which reading finds by the key
+alone, without a shuffle where the table is bucketed.  A load counts once its row
+is in the commit table, so a run that dies half-way leaves files that nobody reads.
+One writer at a time is assumed.
+
+``content_hash`` is that of the columns hashed when the row was written.
 """
 
 from __future__ import annotations
@@ -20,11 +23,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratalake.operators import versioning as v
+from stratalake.session import staged
 
 _COMMIT_SCHEMA = (
     "version int, load_id string, run_date string, run_id string, "
     "new bigint, changed bigint, expired bigint, unchanged bigint, "
-    "total_written bigint, row_schema string"
+    "total_written bigint, row_schema string, hashed string"
 )
 
 
@@ -73,14 +77,25 @@ class VersionedTable:
         loads = [r for r in self.commits().collect() if version is None or r.version <= version]
         if not loads:
             return None
-        last = loads[-1]
-        schema = T.StructType.fromJson(json.loads(last.row_schema))
-        rows = self._rows(schema)
-        open_rows = (F.col("status") == v.CURRENT) & (F.col("load_id") == last.load_id)
-        closed_rows = (F.col("status") == v.HISTORICAL) & F.col("load_id").isin(
-            [r.load_id for r in loads]
-        )
-        return rows.filter(open_rows | closed_rows).select(*schema.fieldNames())
+        schema = T.StructType.fromJson(json.loads(loads[-1].row_schema))
+        rows = self._rows(schema).filter(F.col("load_id").isin([r.load_id for r in loads]))
+        closed = rows.filter(F.col("status") == v.HISTORICAL)
+        keys = v.as_keys(self.key)
+        # Load ids begin with the version, so they sort by it.
+        last_closed = closed.groupBy(*keys).agg(F.max("load_id").alias("_closed"))
+        still_open = F.col("_closed").isNull() | (F.col("_closed") <= F.col("load_id"))
+        opened = rows.filter(F.col("status") == v.CURRENT).join(last_closed, keys, "left").filter(still_open)
+        names = schema.fieldNames()
+        return opened.select(*names).unionByName(closed.select(*names))
+
+    def rows_written(self) -> DataFrame:
+        """(version, written): rows in the files of each load that counts."""
+        loads = self.commits().select("version", "load_id", "row_schema").collect()
+        if not loads:
+            return self.spark.createDataFrame([], "version int, written bigint")
+        schema = T.StructType.fromJson(json.loads(loads[-1].row_schema))
+        counts = self._rows(schema).groupBy("load_id").agg(F.count(F.lit(1)).alias("written"))
+        return self.commits().join(counts, "load_id").select("version", "written")
 
     def _rows(self, schema: T.StructType) -> DataFrame:
         """Rows of all loads with their ``load_id``.
@@ -127,43 +142,53 @@ class VersionedTable:
         Keys in ``held`` arrived in rows that could not be used; their open rows stay.
 
         A first narrow job joins keys and hashes only.  It finds bad keys before
-        anything is written, yields the statistics, and lets a run without
-        changes end there.  The second job writes the load.
+        anything is written and tells what becomes of each key; a run without changes
+        ends there.  The second job reads full rows of the touched keys alone and
+        writes them.  A first load is written at once, its keys checked on the way.
         """
+        commits = self.commits().collect()
         existing = self.read()
-        matched = v.match_versions(
-            existing, incoming, self.key, self.business_columns, with_rows=False, held=held
-        )
-        stats = v.change_stats(matched).first().asDict()
-        touched = stats["new"] + stats["changed"] + stats["expired"]
-        if touched == 0 and skip_unchanged and existing is not None:
-            return {**stats, "version": None}
-        version = 1 + max((r.version for r in self.commits().collect()), default=0)
+        version = 1 + max((r.version for r in commits), default=0)
         load_id = f"{version:08d}-{uuid.uuid4().hex[:8]}"
+        keys = v.as_keys(self.key)
+        hashed = json.dumps(v.business_columns_only(incoming, self.business_columns, keys))
+        rehash = any(r.hashed != hashed for r in commits)
+        if existing is not None:
+            changes = staged(v.match_versions(
+                existing, incoming, keys, self.business_columns, with_rows=False, held=held, rehash=rehash,
+            ).select(*keys, "change"), "changes")
+            stats = v.change_stats(changes).first().asDict()
+            if stats["new"] + stats["changed"] + stats["expired"] == 0 and skip_unchanged:
+                return {**stats, "version": None}
+            touched = changes.filter(~F.col("change").isin(v.UNCHANGED, v.HELD)).select(*keys)
+            existing = existing.filter(F.col("status") == v.CURRENT).join(touched, keys, "left_semi")
+            incoming = incoming.join(touched, keys, "left_semi")
         rows = v.open_and_closed(
-            v.match_versions(existing, incoming, self.key, self.business_columns, check_keys=False,
-                             held=held),
-            self.key, run_date, run_id,
+            v.match_versions(existing, incoming, keys, self.business_columns, rehash=rehash),
+            keys, run_date, run_id,
         )
-        self._write(rows.withColumn("load_id", F.lit(load_id)), first=existing is None)
+        self._write(rows.withColumn("load_id", F.lit(load_id)))
+        if existing is None:
+            new = self._rows(rows.schema).filter(F.col("load_id") == load_id).count()
+            changes = self.spark.range(new).select(F.lit(v.NEW).alias("change"))
+            stats = v.change_stats(changes).first().asDict()
         commit = (
             version, load_id, run_date, run_id, stats["new"], stats["changed"],
-            stats["expired"], stats["unchanged"], stats["total_written"], rows.schema.json(),
+            stats["expired"], stats["unchanged"], stats["total_written"], rows.schema.json(), hashed,
         )
         self.spark.createDataFrame([commit], _COMMIT_SCHEMA).coalesce(1).write.mode(
             "append"
         ).parquet(f"{self.path}/commits")
         return {**stats, "version": version}
 
-    def _write(self, rows: DataFrame, first: bool) -> None:
+    def _write(self, rows: DataFrame) -> None:
         if not self.buckets:
             rows.write.mode("append").option("compression", "zstd").partitionBy(
                 "load_id", "status"
             ).parquet(f"{self.path}/rows")
             return
-        if first:
-            # Later runs leave the join already split by bucket.
-            rows = rows.repartition(self.buckets, *v.as_keys(self.key))
+        # One file a bucket; only rows that a run opened or closed are moved.
+        rows = rows.repartition(self.buckets, *v.as_keys(self.key))
         names = [n for n in rows.columns if n not in ("load_id", "status")]
         ordered = rows.select(*names, "load_id", "status")
         self._register(ordered.schema)

@@ -329,3 +329,40 @@ def commit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored_table(spark, sf_dir).commits().select(
         "version", "run_id", "new", "changed", "expired", "unchanged"
     )
+
+
+@query("rows_written", f"""WITH {CHANGES_SQL},
+n AS (SELECT run AS version, count(*) AS written FROM s WHERE run = 1 GROUP BY run)
+SELECT CAST(version AS INTEGER) AS version, written FROM n
+UNION ALL
+SELECT 2, count(*) FILTER (change = 'NEW') + 2 * count(*) FILTER (change = 'CHANGED') + count(*) FILTER (change = 'EXPIRED') FROM c""")
+def rows_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows in the files of the first two loads: a load writes what it changes, no more."""
+    stored = VersionedTable(spark, scratch_path(spark, "versions"), KEY, BUSINESS)
+    for number, day in enumerate(DAYS[:2], 1):
+        stored.apply(snapshot(spark, sf_dir, day), day, run_id(number))
+    return stored.rows_written()
+
+
+def hashed_lists(spark: SparkSession, sf_dir: str, lists: list[list[str]]) -> DataFrame:
+    """One snapshot loaded on successive days, each time with other columns hashed."""
+    stored = VersionedTable(spark, scratch_path(spark, "versions"), KEY, lists[0])
+    for number, (day, columns) in enumerate(zip(DAYS, lists), 1):
+        stored.business_columns = columns
+        stored.apply(snapshot(spark, sf_dir, DAYS[0]), day, run_id(number))
+    return iso_dates(stored.read().select(KEY, "status", "active_from", "active_to"))
+
+
+_NEVER_CHANGED = f"WITH {history_sql(1)} SELECT o_custkey, status, active_from, active_to FROM hist"
+
+
+@query("scd2_hash_list_grows", _NEVER_CHANGED)
+def scd2_hash_list_grows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored column joins the hashed ones: nothing has changed."""
+    return hashed_lists(spark, sf_dir, [BUSINESS[:2], BUSINESS, BUSINESS])
+
+
+@query("scd2_hash_list_shrinks", _NEVER_CHANGED)
+def scd2_hash_list_shrinks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column leaves the hashed ones: nothing has changed."""
+    return hashed_lists(spark, sf_dir, [BUSINESS, BUSINESS[:2], BUSINESS[:2]])
