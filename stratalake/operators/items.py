@@ -26,16 +26,45 @@ def record_items(
 
 
 def version_items(df: DataFrame, entity: str, kind: str) -> DataFrame:
-    """Every version as an item: ``V#CURRENT`` for the open row, ``V#<active_from>`` else."""
-    started = F.date_format("active_from", "yyyy-MM-dd")
+    """Every version as an item: ``V#CURRENT`` for the open row, ``V#<active_from>`` else.
+
+    Of versions that began on one day all but the last ended on it; those carry their version
+    id, too, so that each has a key of its own.
+    """
     return df.select(
         key_path("ITEM", kind, F.col(entity)).alias("PK"),
-        F.when(F.col("status") == CURRENT, "V#CURRENT")
-        .otherwise(F.concat(F.lit("V#"), started)).alias("SK"),
+        F.when(F.col("status") == CURRENT, "V#CURRENT").otherwise(_closed_version()).alias("SK"),
         "*",
     )
 
 
+def _closed_version() -> Column:
+    """Sort key of a closed row."""
+    day = F.concat(F.lit("V#"), F.date_format("active_from", "yyyy-MM-dd"))
+    return F.when(F.col("active_from") < F.col("active_to"), day).otherwise(
+        F.concat(day, F.lit("#"), F.col("version_id"))
+    )
+
+
+def record_refresh(changes: DataFrame, entity: str, kind: str) -> DataFrame:
+    """Items to put after a batch, from the rows that it opened or closed.
+
+    Each touched entity gets its ``V#CURRENT`` anew: the open row, or, where the batch left none,
+    the row closed last, with ``is_current`` false and the day it ended.  Closed rows are put
+    under their own day.
+    """
+    columns = changes.columns
+    newest = F.struct(F.col("status") == CURRENT, "active_to", "active_from", "version_id")
+    latest = changes.groupBy(entity).agg(F.max_by(F.struct(*columns), newest).alias("_l")).select("_l.*")
+    closed = changes.filter(F.col("status") != CURRENT)
+    return latest.withColumn("SK", F.lit("V#CURRENT")).unionByName(
+        closed.withColumn("SK", _closed_version())
+    ).select(
+        key_path("ITEM", kind, F.col(entity)).alias("PK"), "SK",
+        ((F.col("SK") == "V#CURRENT") & (F.col("status") == CURRENT)).alias("is_current"), *columns,
+    )
+
+
 def last_write_wins(df: DataFrame, order: Sequence[str], key: Sequence[str] = ITEM_KEY) -> DataFrame:
     """One row per item key, the one with the greatest ``order`` values.
 

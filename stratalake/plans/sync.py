@@ -15,10 +15,11 @@ RECORDS, TOKENS = "record", "search"
 
 
 def run_sync(spark: SparkSession, codesets: DataFrame, path: str, run_id: str) -> dict:
-    """Replace all items, check that they arrived, and return the counts.
+    """Replace all items and return how many were written of each kind.
 
     The old items of a kind go when the new ones are complete, so readers never
-    meet a store without search items.
+    meet a store without search items.  A write that fails ends the job; what it
+    wrote is counted from the files.
     """
     records = serving.codeset_records(codesets, F.current_timestamp())
     index = staged(serving.codeset_index(codesets), "token-index")
@@ -26,12 +27,8 @@ def run_sync(spark: SparkSession, codesets: DataFrame, path: str, run_id: str) -
     counts = {}
     for kind, wanted in ((TOKENS, tokens), (RECORDS, records)):
         sink.write_items(wanted, path, kind)
-        outcome = sink.write_outcome(wanted, sink.read_items(spark, path, kind)).first()
-        counts[kind] = outcome.asDict()
-    sink.gate_failures(
-        counts[RECORDS]["failed"], counts[TOKENS]["written"], counts[TOKENS]["failed"]
-    )
-    return {"run_id": run_id, **{f"{k}_{n}": v for k, c in counts.items() for n, v in c.items()}}
+        counts[f"{kind}_written"] = sink.read_items(spark, path, kind).count()
+    return {"run_id": run_id, **counts}
 
 
 def gold_codesets(

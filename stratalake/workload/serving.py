@@ -159,6 +159,21 @@ def version_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return items.version_items(done, versions.KEY, "CUSTOMER").select("PK", "SK", "content_hash")
 
 
+@query("record_refresh", f"""WITH {versions.history_sql(2)},
+touched AS (SELECT * FROM hist WHERE run_id = 'run2')
+SELECT 'ITEM#CUSTOMER#' || o_custkey AS "PK", 'V#' || active_from AS "SK", false AS is_current, content_hash, active_to
+FROM touched WHERE status = 'historical'
+UNION ALL
+SELECT 'ITEM#CUSTOMER#' || o_custkey, 'V#CURRENT', status = 'current', content_hash, active_to FROM touched
+QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY active_to DESC) = 1""")
+def record_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items of new, changed and vanished customers after the second snapshot."""
+    changes = v.changes_on(versions.versions(spark, sf_dir, [1, 2]), versions.DAYS[1])
+    return iso_dates(items.record_refresh(changes, versions.KEY, "CUSTOMER").select(
+        "PK", "SK", "is_current", "content_hash", "active_to"
+    ))
+
+
 @query("current_tokens", f"""WITH {versions.history_sql(3)}
 SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS entity_id, 'priority' AS field, unnest({tokens_sql('priority')}) AS token
 FROM hist WHERE status = 'current'""")

@@ -78,6 +78,28 @@ def test_failure_gate():
     assert [items.item_partitions(n) for n in (0, 19_999, 25_000)] == [4, 4, 5]
 
 
+def test_record_refresh_closes_current_items(spark):
+    days = "cast(active_from as date) active_from, cast(active_to as date) active_to"
+    changes = spark.createDataFrame([
+        (1, "new", "2020-01-05", "9999-12-31", "current", "v1"),
+        (2, "old", "2020-01-01", "2020-01-05", "historical", "v2"),
+        (2, "now", "2020-01-05", "9999-12-31", "current", "v3"),
+        (3, "gone", "2020-01-02", "2020-01-05", "historical", "v4"),
+        (4, "brief", "2020-01-05", "2020-01-05", "historical", "v5"),
+        (4, "later", "2020-01-05", "9999-12-31", "current", "v6"),
+    ], "k int, v string, active_from string, active_to string, status string, version_id string",
+    ).selectExpr("k", "v", days.split(", ")[0], days.split(", ")[1], "status", "version_id")
+    got = rows(items.record_refresh(changes, "k", "X").select("PK", "SK", "is_current", "v"))
+    assert got == sorted([
+        ("ITEM#X#1", "V#CURRENT", True, "new"),
+        ("ITEM#X#2", "V#2020-01-01", False, "old"), ("ITEM#X#2", "V#CURRENT", True, "now"),
+        ("ITEM#X#3", "V#2020-01-02", False, "gone"), ("ITEM#X#3", "V#CURRENT", False, "gone"),
+        ("ITEM#X#4", "V#2020-01-05#v5", False, "brief"), ("ITEM#X#4", "V#CURRENT", True, "later"),
+    ])
+    stored = items.version_items(changes, "k", "X")
+    assert stored.select("PK", "SK").distinct().count() == stored.filter("k <> 3").count() + 1
+
+
 def test_token_refresh(spark):
     schema = "entity_id string, field string, token string"
     before = spark.createDataFrame([("1", "n", "old"), ("1", "n", "kept"), ("2", "n", "gone"), ("9", "n", "still")], schema)
@@ -108,8 +130,8 @@ def test_codesets_keep_both_sides(spark):
 def test_sync(spark, tmp_path):
     path = str(tmp_path / "store")
     summary = sync.run_sync(spark, codesets(spark), path, "run1")
-    assert (summary["record_written"], summary["record_failed"], summary["search_failed"]) == (3, 0, 0)
     keys = {r.SK for r in sink.read_items(spark, path, "search").collect()}
+    assert summary == {"run_id": "run1", "record_written": 3, "search_written": len(keys)}
     assert "token#drug#rxnorm_str#DRUG#00000000001" in keys and "token#500#rxnorm_str#DRUG#00000000001" in keys
     assert "token#00000000002#ndc#DRUG#00000000002" in keys
     record = {r.PK: json.loads(r.document) for r in sink.read_items(spark, path, "record").collect()}
