@@ -33,17 +33,23 @@ def products_for_condition(
     ).distinct().orderBy("ingredient", "tty", "rxcui", "condition", "rela", "relasource")
 
 
-def label_classes(members: DataFrame, source: str) -> DataFrame:
-    """Distinct classes that one source gives each product."""
-    return members.filter(F.col("relasource") == source).select(
+def _of_product(members: DataFrame, product: str | None) -> DataFrame:
+    return members if product is None else members.filter(F.col("rxcui") == product)
+
+
+def label_classes(members: DataFrame, source: str, product: str | None = None) -> DataFrame:
+    """Distinct classes that one source gives each product, or the one asked for."""
+    return _of_product(members, product).filter(F.col("relasource") == source).select(
         "rxcui", F.col("minconcept_name").alias("ingredient"),
         F.col("class_name").alias("classification"), "class_type", "rela",
     ).distinct()
 
 
-def contraindications(members: DataFrame, relation: str, class_type: str) -> DataFrame:
-    """Distinct classes that a product is related to in one way."""
-    return members.filter(
+def contraindications(
+    members: DataFrame, relation: str, class_type: str, product: str | None = None
+) -> DataFrame:
+    """Distinct classes that each product, or the one asked for, is related to in one way."""
+    return _of_product(members, product).filter(
         (F.col("rela") == relation) & (F.col("class_type") == class_type)
     ).select("rxcui", F.col("class_name").alias("contraindicated_condition")).distinct()
 
@@ -88,6 +94,20 @@ def by_ingredient(products: DataFrame, ingredient: str) -> DataFrame:
     ).select("rxcui", "str", "ingredient_names", "brand_names")
 
 
+def lookup_classes(members: DataFrame, products: DataFrame) -> DataFrame:
+    """Classes of the given products (``rxcui``), a row each."""
+    return members.join(products.select("rxcui"), "rxcui", "left_semi").select(
+        "rxcui", "class_id", "class_name", "class_type", "rela", "relasource"
+    ).distinct()
+
+
+def lookup_products(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """Products of the given classes (``class_id``), a row each."""
+    return members.join(classes.select("class_id"), "class_id", "left_semi").select(
+        "class_id", "class_name", "rxcui", "tty", "rela", "relasource"
+    ).distinct()
+
+
 def classes_of(members: DataFrame) -> DataFrame:
     """Drug to classes: how many classes and sources each product has."""
     return members.groupBy("rxcui").agg(

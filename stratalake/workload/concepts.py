@@ -58,7 +58,7 @@ def conso(spark: SparkSession, sf_dir: str) -> DataFrame:
         _id("B", "l_partkey", "l_suppkey"), "SBD",
         F.concat(F.lit("brand "), text("l_partkey"), F.lit(" of "), text("l_suppkey")),
     ))))
-    of_orders = table(spark, sf_dir, "orders").filter("o_orderstatus <> 'P'").select(F.inline(F.array(concept(
+    of_orders = table(spark, sf_dir, "orders").select(F.inline(F.array(concept(
         _id("G", "o_orderkey"), F.when(F.col("o_orderstatus") == "F", "GPCK").otherwise("BPCK"),
         F.concat(F.lit("pack "), text("o_orderkey")),
     ))))
@@ -101,7 +101,7 @@ def rel(spark: SparkSession, sf_dir: str) -> DataFrame:
         edge(component, "has_precise_ingredient", _id("J", "p_brand")),
     )))
     of_packs = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey").distinct().join(
-        orders.filter("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey"
+        orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey"
     ).select(edge(_id("G", "l_orderkey"), "contains", pair_part).alias("e")).select("e.*")
     next_pack = F.concat(F.lit("G"), (F.col("o_orderkey") + 1).cast("string"))
     branded = orders.select(edge(_id("G", "o_orderkey"), "has_tradename", next_pack).alias("e")).select("e.*")
@@ -140,7 +140,7 @@ conso AS (
   UNION ALL SELECT 'P' || p_partkey, 'PSN', upper(p_name), p_size > 10 FROM part
   UNION ALL SELECT 'B' || p || '_' || s, 'SBD', 'brand ' || p || ' of ' || s, true FROM pair
   UNION ALL SELECT 'G' || o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'GPCK' ELSE 'BPCK' END, 'pack ' || o_orderkey, true
-    FROM orders WHERE o_orderstatus <> 'P'
+    FROM orders
   UNION ALL SELECT DISTINCT 'I' || p_brand, 'IN', 'Ingredient ' || p_brand, true FROM part
   UNION ALL SELECT DISTINCT 'J' || p_brand, 'PIN', 'Precise ' || p_brand, true FROM part WHERE length(p_brand) = 7
   UNION ALL SELECT DISTINCT 'M' || p_type, 'MIN', 'Several ' || p_type, true FROM part WHERE p_type IN ('PROMO', 'ECONOMY')
@@ -160,7 +160,7 @@ rel AS (
   UNION ALL SELECT 'B' || p || '_' || s, 'has_ingredient', 'N' || s, true FROM pair
   UNION ALL SELECT 'B' || p || '_' || s, 'tradename_of', 'P' || p, true FROM pair
   UNION ALL SELECT 'P' || p, 'has_tradename', 'B' || p || '_' || s, true FROM pair
-  UNION ALL SELECT 'G' || o, 'contains', 'P' || p, true FROM packed JOIN orders ON o = o_orderkey WHERE o_orderstatus <> 'P'
+  UNION ALL SELECT 'G' || o, 'contains', 'P' || p, true FROM packed JOIN orders ON o = o_orderkey
   UNION ALL SELECT 'G' || o_orderkey, 'has_tradename', 'G' || (o_orderkey + 1), true FROM orders),
 base AS (SELECT DISTINCT id, tty, name FROM conso WHERE tty IN ('SCD', 'SBD', 'GPCK', 'BPCK') AND v)
 """

@@ -51,17 +51,17 @@ def packages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nsde(spark: SparkSession, sf_dir: str) -> DataFrame:
-    returned = table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag").isin("R", "A")).groupBy(
+    shipped = table(spark, sf_dir, "lineitem").groupBy(
         "l_partkey", "l_suppkey", "l_returnflag"
     ).agg(
         F.max("l_linestatus").alias("status"), F.max("l_shipdate").cast("date").alias("shipped"),
         F.max("l_quantity").alias("quantity"),
     )
     part, big = text("l_partkey"), F.col("quantity") > 25
-    return returned.select(
+    return shipped.select(
         F.concat(
             F.lpad(part, 5, "0"), F.lpad(text("l_suppkey"), 4, "0"),
-            F.when(F.col("l_returnflag") == "R", "01").otherwise("02"),
+            F.when(F.col("l_returnflag") == "R", "01").when(F.col("l_returnflag") == "A", "02").otherwise("03"),
         ).alias("ndc_11"),
         F.when(F.col("status") == "O", "").otherwise(F.concat(F.lit("N-"), part)).alias("proprietary_name"),
         F.when(big, "KIT").alias("dosage_form"),
@@ -92,14 +92,14 @@ listed AS (SELECT ndc_11, marketing_category, product_type, proprietary_name, do
 """
 UNIFIED_SQL = f"""{LISTED_SQL},
 nsde AS (SELECT lpad(CAST(l_partkey AS VARCHAR), 5, '0') || lpad(CAST(l_suppkey AS VARCHAR), 4, '0')
-      || CASE WHEN l_returnflag = 'R' THEN '01' ELSE '02' END AS ndc_11,
+      || CASE l_returnflag WHEN 'R' THEN '01' WHEN 'A' THEN '02' ELSE '03' END AS ndc_11,
     CASE WHEN max(l_linestatus) = 'O' THEN '' ELSE 'N-' || l_partkey END AS proprietary_name,
     CASE WHEN max(l_quantity) > 25 THEN 'KIT' END AS dosage_form, 'NDA' AS marketing_category,
     CASE WHEN max(l_quantity) > 25 THEN 'APP' || l_partkey ELSE '' END AS application_number, '' AS product_type,
     CASE WHEN max(l_quantity) > 25 THEN strftime(max(l_shipdate), '%Y-%m-%d') END AS marketing_start_date,
     CASE WHEN max(l_quantity) > 25 THEN NULL ELSE strftime(max(l_shipdate), '%Y-%m-%d') END AS marketing_end_date,
     CASE WHEN max(l_quantity) > 25 THEN 'EA' END AS billing_unit
-  FROM lineitem WHERE l_returnflag IN ('R', 'A') GROUP BY l_partkey, l_suppkey, l_returnflag),
+  FROM lineitem GROUP BY l_partkey, l_suppkey, l_returnflag),
 unified AS (SELECT coalesce(l.ndc_11, n.ndc_11) AS ndc_11,
     coalesce(nullif(n.marketing_category, ''), l.marketing_category) AS marketing_category,
     coalesce(nullif(n.product_type, ''), l.product_type) AS product_type,

@@ -120,6 +120,23 @@ def products_of_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.members_of(members(spark, sf_dir))
 
 
+@query("lookup_classes", f"""WITH {MEMBERS_SQL}
+SELECT DISTINCT rxcui, class_id, class_name, class_type, rela, relasource FROM members
+WHERE rxcui IN (SELECT CAST(p_partkey AS VARCHAR) FROM part WHERE p_size > 25)""")
+def lookup_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wanted = table(spark, sf_dir, "part").filter("p_size > 25").select(text("p_partkey").alias("rxcui"))
+    return reports.lookup_classes(members(spark, sf_dir), wanted)
+
+
+@query("lookup_products", f"""WITH {MEMBERS_SQL}
+SELECT DISTINCT class_id, class_name, rxcui, tty, rela, relasource FROM members
+WHERE class_id IN (SELECT l_returnflag || l_linenumber FROM lineitem WHERE l_discount > 0.05)""")
+def lookup_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wanted = table(spark, sf_dir, "lineitem").filter("l_discount > 0.05").select(
+        F.concat("l_returnflag", text("l_linenumber")).alias("class_id")).distinct()
+    return reports.lookup_products(members(spark, sf_dir), wanted)
+
+
 @query("top_class_types", f"""WITH {MEMBERS_SQL}
 SELECT class_type, count(*) AS count FROM members GROUP BY 1 ORDER BY count DESC, class_type LIMIT 20""")
 def top_class_types(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -230,8 +230,8 @@ def idempotent_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 CODESETS_SQL = f"""{concepts.NAMED_SQL},
 gold AS (SELECT lpad(CAST(l_partkey AS VARCHAR), 5, '0') || lpad(CAST(l_suppkey AS VARCHAR), 4, '0')
-      || CASE WHEN l_returnflag = 'R' THEN '02' ELSE '01' END AS ndc_11, max(l_linestatus) AS proprietary_name
-  FROM lineitem WHERE l_returnflag <> 'N' GROUP BY ALL),
+      || CASE l_returnflag WHEN 'R' THEN '02' WHEN 'N' THEN '03' ELSE '01' END AS ndc_11, max(l_linestatus) AS proprietary_name
+  FROM lineitem GROUP BY ALL),
 prods AS (SELECT id AS rxcui, tty, name AS str FROM base WHERE tty = 'SCD'),
 bridge AS (SELECT DISTINCT ndc_11, rxcui FROM named),
 codesets AS (SELECT g.ndc_11 AS fda_ndc_11, g.proprietary_name AS fda_proprietary_name,
@@ -244,9 +244,9 @@ def codesets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Codes of shipments, the mappings that name some of them, and all generic products."""
     code = F.concat(
         F.lpad(text("l_partkey"), 5, "0"), F.lpad(text("l_suppkey"), 4, "0"),
-        F.when(F.col("l_returnflag") == "R", "02").otherwise("01"),
+        F.when(F.col("l_returnflag") == "R", "02").when(F.col("l_returnflag") == "N", "03").otherwise("01"),
     )
-    codes = table(spark, sf_dir, "lineitem").filter("l_returnflag <> 'N'").groupBy(code.alias("ndc_11")).agg(
+    codes = table(spark, sf_dir, "lineitem").groupBy(code.alias("ndc_11")).agg(
         F.max("l_linestatus").alias("proprietary_name")
     )
     base = plan.base_products(plan.concept_nodes(concepts.conso(spark, sf_dir)))

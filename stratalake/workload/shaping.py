@@ -266,24 +266,26 @@ def fallback_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("full_outer_merge", """
-WITH l AS (SELECT o_custkey AS k, max(o_orderpriority) AS name, max(o_orderdate) AS since, count(*) AS n
-           FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 300000 GROUP BY 1),
-r AS (SELECT c_custkey AS k, CASE WHEN c_mktsegment = 'BUILDING' THEN '' WHEN c_mktsegment = 'MACHINERY' THEN NULL ELSE c_name END AS name,
-        CASE WHEN c_acctbal > 5000 THEN TIMESTAMP '2020-01-01' END AS since FROM customer WHERE c_acctbal > 0)
+WITH l AS (SELECT CASE o_orderstatus WHEN 'F' THEN o_custkey ELSE o_custkey + 1000000000 END AS k,
+             max(o_orderpriority) AS name, max(o_orderdate) AS since, count(*) AS n FROM orders GROUP BY 1),
+r AS (SELECT CASE WHEN c_acctbal > 0 THEN c_custkey ELSE -c_custkey END AS k, CASE WHEN c_mktsegment = 'BUILDING' THEN '' WHEN c_mktsegment = 'MACHINERY' THEN NULL ELSE c_name END AS name,
+        CASE WHEN c_acctbal > 5000 THEN TIMESTAMP '2020-01-01' END AS since FROM customer)
 SELECT coalesce(l.k, r.k) AS k, coalesce(nullif(r.name, ''), l.name) AS name,
   strftime(coalesce(r.since, l.since), '%Y-%m-%d') AS since, l.n AS n, r.k IS NOT NULL AS in_right
 FROM l FULL JOIN r ON l.k = r.k
 """)
 def full_outer_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    left = table(spark, sf_dir, "orders").filter("o_orderstatus = 'F' AND o_totalprice > 300000").groupBy(
-        F.col("o_custkey").alias("k")
+    ordering, buyer = F.col("o_custkey"), F.col("c_custkey")
+    # Customers of open orders are known on the left only, those without credit on the right only.
+    left = table(spark, sf_dir, "orders").groupBy(
+        F.when(F.col("o_orderstatus") == "F", ordering).otherwise(ordering + 1_000_000_000).alias("k")
     ).agg(
         F.max("o_orderpriority").alias("name"),
         F.max("o_orderdate").cast("date").alias("since"), F.count(F.lit(1)).alias("n"),
     )
     segment = F.col("c_mktsegment")
-    right = table(spark, sf_dir, "customer").filter("c_acctbal > 0").select(
-        F.col("c_custkey").alias("k"),
+    right = table(spark, sf_dir, "customer").select(
+        F.when(F.col("c_acctbal") > 0, buyer).otherwise(-buyer).alias("k"),
         F.when(segment == "BUILDING", "").when(segment != "MACHINERY", F.col("c_name")).alias("name"),
         F.when(F.col("c_acctbal") > 5000, F.lit("2020-01-01").cast("date")).alias("since"),
     )
