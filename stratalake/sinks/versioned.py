@@ -74,6 +74,11 @@ class VersionedTable:
 
     def read(self, version: int | None = None) -> DataFrame | None:
         """The table after the given run, by default the last; None before the first."""
+        parts = self._open_and_closed(version)
+        return None if parts is None else parts[0].unionByName(parts[1])
+
+    def _open_and_closed(self, version: int | None = None) -> tuple[DataFrame, DataFrame] | None:
+        """Open rows, bucketed by the key where the table is, and closed ones."""
         loads = [r for r in self.commits().collect() if version is None or r.version <= version]
         if not loads:
             return None
@@ -86,7 +91,7 @@ class VersionedTable:
         still_open = F.col("_closed").isNull() | (F.col("_closed") <= F.col("load_id"))
         opened = rows.filter(F.col("status") == v.CURRENT).join(last_closed, keys, "left").filter(still_open)
         names = schema.fieldNames()
-        return opened.select(*names).unionByName(closed.select(*names))
+        return opened.select(*names), closed.select(*names)
 
     def rows_written(self) -> DataFrame:
         """(version, written): rows in the files of each load that counts."""
@@ -147,7 +152,8 @@ class VersionedTable:
         writes them.  A first load is written at once, its keys checked on the way.
         """
         commits = self.commits().collect()
-        existing = self.read()
+        stored = self._open_and_closed()
+        existing = None if stored is None else stored[0]
         version = 1 + max((r.version for r in commits), default=0)
         load_id = f"{version:08d}-{uuid.uuid4().hex[:8]}"
         keys = v.as_keys(self.key)
@@ -161,7 +167,7 @@ class VersionedTable:
             if stats["new"] + stats["changed"] + stats["expired"] == 0 and skip_unchanged:
                 return {**stats, "version": None}
             touched = changes.filter(~F.col("change").isin(v.UNCHANGED, v.HELD)).select(*keys)
-            existing = existing.filter(F.col("status") == v.CURRENT).join(touched, keys, "left_semi")
+            existing = existing.join(touched, keys, "left_semi")
             incoming = incoming.join(touched, keys, "left_semi")
         rows = v.open_and_closed(
             v.match_versions(existing, incoming, keys, self.business_columns, rehash=rehash),
