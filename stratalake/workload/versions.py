@@ -17,6 +17,8 @@ from stratalake.workload import query
 from stratalake.workload.common import iso_dates, table
 
 DAYS = ["1998-06-30", "1998-12-31", "1999-09-30"]
+# Days of the snapshots that take all orders; none is later than the last day.
+WHOLE_DAYS = ["1998-06-30", "1999-09-30", "2001-12-31"]
 KEY, BUSINESS = "o_custkey", ["status_of_order", "priority", "price"]
 OUTPUT = [
     "o_custkey", "status_of_order", "priority", "price", "source_run_id", "version_id",
@@ -44,6 +46,22 @@ def snapshot(spark: SparkSession, sf_dir: str, day: str, keys: list[str] | None
     )
 
 
+def whole_snapshot(spark: SparkSession, sf_dir: str, day: str) -> DataFrame:
+    """State of each customer by all orders up to the day.
+
+    Every order up to the day is read.  A customer falls away while the latest
+    order is pending (status P) and comes back with the next one that is not.
+    """
+    end = F.lit(day).cast("date")
+    rest = ["o_orderstatus", "o_orderpriority", "o_totalprice"]
+    latest = F.max_by(F.struct(*rest), F.struct("o_orderdate", "o_orderkey"))
+    known = table(spark, sf_dir, "orders").filter(F.col("o_orderdate") <= end)
+    return known.groupBy(KEY).agg(latest.alias("l")).filter("l.o_orderstatus <> 'P'").select(
+        KEY, F.col("l.o_orderstatus").alias("status_of_order"), F.col("l.o_orderpriority").alias("priority"),
+        F.col("l.o_totalprice").alias("price"), F.lit(day).alias("source_run_id"),
+    )
+
+
 def run_id(number: int) -> str:
     return f"run{number}"
 
@@ -64,6 +82,16 @@ def versions(spark: SparkSession, sf_dir: str, runs: list[int]) -> DataFrame:
     return done
 
 
+def whole_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table after a run for each of ``WHOLE_DAYS``."""
+    done: DataFrame | None = None
+    for number, day in enumerate(WHOLE_DAYS, 1):
+        done = staged(v.scd2_apply(
+            done, whole_snapshot(spark, sf_dir, day), KEY, BUSINESS, day, run_id(number)
+        ), "versions")
+    return done
+
+
 def snapshots_sql(keys: str = "o_custkey", priority: str = "o_orderpriority AS priority,") -> str:
     """CTEs ``runs`` and ``s``: the snapshots with their hashes, by run number."""
     hashed = ["coalesce(status_of_order, '')"]
@@ -366,3 +394,53 @@ def scd2_hash_list_grows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scd2_hash_list_shrinks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A column leaves the hashed ones: nothing has changed."""
     return hashed_lists(spark, sf_dir, [BUSINESS, BUSINESS[:2], BUSINESS[:2]])
+
+
+_WHOLE_DAYS = ", ".join(f"({i}, DATE '{d}')" for i, d in enumerate(WHOLE_DAYS, 1))
+WHOLE_SQL = f"""WITH runs AS (SELECT * FROM (VALUES {_WHOLE_DAYS}) AS t(run, day)),
+latest AS (
+  SELECT run, day, o_custkey, o_orderstatus AS status_of_order, o_orderpriority AS priority, o_totalprice AS price
+  FROM orders, runs WHERE CAST(o_orderdate AS DATE) <= day
+  QUALIFY row_number() OVER (PARTITION BY run, o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1),
+s AS (SELECT *, md5(concat_ws('|', coalesce(status_of_order, ''), coalesce(priority, ''),
+    CAST(CAST(price AS DECIMAL(38,6)) AS VARCHAR))) AS h FROM latest WHERE status_of_order <> 'P'),
+opened AS (
+  SELECT s.*, CASE WHEN s.run < 2 AND x2.run IS NULL THEN 2 WHEN s.run < 3 AND x3.run IS NULL THEN 3 END AS close_run,
+    md5(CAST(s.o_custkey AS VARCHAR) || '|' || strftime(s.day, '%Y-%m-%d') || '|' || s.h || '|run' || s.run) AS vid
+  FROM s LEFT JOIN s p ON p.run = s.run - 1 AND p.o_custkey = s.o_custkey AND p.h = s.h
+  LEFT JOIN s x2 ON x2.run = 2 AND x2.h = s.h AND x2.o_custkey = s.o_custkey
+  LEFT JOIN s x3 ON x3.run = 3 AND x3.h = s.h AND x3.o_custkey = s.o_custkey
+  WHERE p.run IS NULL)
+SELECT o.o_custkey, o.status_of_order, o.priority, o.price, strftime(o.day, '%Y-%m-%d') AS source_run_id,
+  substr(vid, 1, 8) || '-' || substr(vid, 9, 4) || '-' || substr(vid, 13, 4) || '-' || substr(vid, 17, 4)
+    || '-' || substr(vid, 21, 12) AS version_id,
+  o.h AS content_hash, strftime(o.day, '%Y-%m-%d') AS active_from,
+  coalesce(strftime(c.day, '%Y-%m-%d'), '9999-12-31') AS active_to,
+  CASE WHEN c.day IS NULL THEN 'current' ELSE 'historical' END AS status,
+  strftime(coalesce(c.day, o.day), '%Y-%m-%d') AS run_date, 'run' || coalesce(c.run, o.run) AS run_id
+FROM opened o LEFT JOIN runs c ON c.run = o.close_run"""
+
+
+@query("scd2_whole", WHOLE_SQL)
+def scd2_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versions by snapshots that take all orders up to their day."""
+    return iso_dates(whole_versions(spark, sf_dir).select(*OUTPUT))
+
+
+def whole_stored(spark: SparkSession, sf_dir: str, buckets: int | None = None) -> DataFrame:
+    path = scratch_path(spark, "versions")
+    name = "versions_" + path.rsplit("-", 1)[1] if buckets else None
+    stored = VersionedTable(spark, path, KEY, BUSINESS, buckets, name)
+    for number, day in enumerate(WHOLE_DAYS, 1):
+        stored.apply(whole_snapshot(spark, sf_dir, day), day, run_id(number))
+    return stored.read()
+
+
+@query("versioned_table_whole", WHOLE_SQL)
+def versioned_table_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return iso_dates(whole_stored(spark, sf_dir).select(*OUTPUT))
+
+
+@query("versioned_table_whole_bucketed", WHOLE_SQL)
+def versioned_table_whole_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return iso_dates(whole_stored(spark, sf_dir, buckets=8).select(*OUTPUT))
