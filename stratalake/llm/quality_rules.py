@@ -3,14 +3,16 @@
 Four statistics of each text, in thousandths and as whole numbers: mean word
 length, symbols per word, share of repeated lines, share of words in repeated
 three-word windows.  For each language and source, a sketch counts the documents
-by bin: values below 128 have a bin each, larger ones share 64 bins per power of
+that pass the fixed base rules by bin: values below 128 have a bin each, larger ones share 64 bins per power of
 two, so a quantile is off by 1/64 of its value at most.  Sketches merge by adding
 counts.  A group of fewer than ``MIN_DOCS`` documents uses the merged sketch of
 its language, and a small language that of all documents.
 
-From a sketch come quartiles, and from them fences: an upper one for each
-statistic, q75 + reach * max(q75 - q25, least spread), and a lower one for word
-length.  The fences are joined to the documents of their group; a document that
+From a sketch come quantiles, and from them fences: an upper one for each
+statistic, high + reach * max(high - q25, least spread), and a lower one for word
+length, q25 less the same.  ``high`` is q75, or q99 where three quarters of the texts
+have 0 and the tail is that of good texts, too; for symbols it stays q75, as more than
+one text in a hundred is junk.  The least spread is near the bins' width.  The fences are joined to the documents of their group; a document that
 passes the fixed base rules and lies within all fences is kept.
 
 DataFrame functions only.  NULL and blank texts have no words: they fail the base
@@ -29,12 +31,12 @@ from stratalake.session import staged
 
 SYMBOLS = "#*$%&|<>"
 MIN_DOCS = 100
-# Statistic: (reach, least spread in thousandths, has a lower fence).
+# Statistic: (per cent of the upper quantile, reach, least spread in thousandths, has a lower fence).
 RULES = {
-    "word_length": (6, 250, True),
-    "symbols": (8, 50, False),
-    "dup_lines": (8, 50, False),
-    "repeats": (8, 50, False),
+    "word_length": (75, 6, 250, True),
+    "symbols": (75, 8, 5, False),
+    "dup_lines": (99, 0.5, 20, False),
+    "repeats": (99, 0.5, 20, False),
 }
 
 
@@ -100,13 +102,13 @@ def sketch_bin(value: Column) -> Column:
 
 def sketches(stats: DataFrame) -> DataFrame:
     """(lang, source, statistic, bin, n): counts, which merge by addition."""
-    long = stats.where("n_words > 0").select("lang", "source", F.explode(F.array(*[
+    long = stats.where("NOT base_failed").select("lang", "source", F.explode(F.array(*[
         F.struct(F.lit(r).alias("rule"), sketch_bin(column(r)).alias("bin")) for r in RULES])).alias("x"))
     return long.groupBy("lang", "source", "x.rule", "x.bin").agg(F.count(F.lit(1)).alias("n"))
 
 
-def quartiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """First bins that reach a quarter and three quarters of each group's documents.
+def quantiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
+    """First bins that reach a quarter, and the rule's upper quantile, of each group's documents.
 
     A group has at most some thousand bins, whatever its number of documents.
     """
@@ -114,10 +116,11 @@ def quartiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
     group = Window.partitionBy(*keys, "rule")
     running = merged.withColumn("upto", F.sum("n").over(group.orderBy("bin"))).withColumn(
         "docs", F.sum("n").over(group))
+    percent = F.element_at(F.create_map(*[F.lit(x) for r, (p, *_) in RULES.items() for x in (r, p)]), F.col("rule"))
     return running.groupBy(*keys, "rule").agg(
         F.max("docs").alias("docs"),
         F.min(F.when(F.col("upto") * 4 >= F.col("docs"), F.col("bin"))).alias("q25"),
-        F.min(F.when(F.col("upto") * 4 >= F.col("docs") * 3, F.col("bin"))).alias("q75"))
+        F.min(F.when(F.col("upto") * 100 >= F.col("docs") * percent, F.col("bin"))).alias("high"))
 
 
 def same_group(left: str, right: str, names: list[str]) -> Column:
@@ -130,21 +133,21 @@ def same_group(left: str, right: str, names: list[str]) -> Column:
 def fences(stats: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """One row per language and source: low_<rule> and high_<rule>, NULL where there is no fence."""
     sketch = staged(sketches(stats), "quality-sketch")
-    by_source = quartiles(sketch, ["lang", "source"]).alias("s")
-    by_lang = quartiles(sketch, ["lang"]).alias("l")
-    overall = quartiles(sketch, []).alias("o")
+    by_source = quantiles(sketch, ["lang", "source"]).alias("s")
+    by_lang = quantiles(sketch, ["lang"]).alias("l")
+    overall = quantiles(sketch, []).alias("o")
     pick = lambda q: F.when(F.col("s.docs") >= min_docs, F.col(f"s.{q}")).when(
         F.col("l.docs") >= min_docs, F.col(f"l.{q}")).otherwise(F.col(f"o.{q}"))
     chosen = (
         by_source.join(by_lang, same_group("s", "l", ["lang", "rule"]))
         .join(F.broadcast(overall), F.col("s.rule") == F.col("o.rule"))
-        .select("s.lang", "s.source", "s.rule", pick("q25").alias("q25"), pick("q75").alias("q75"))
+        .select("s.lang", "s.source", "s.rule", pick("q25").alias("q25"), pick("high").alias("high"))
     )
     limits = []
-    for rule, (reach, least, lower) in RULES.items():
-        spread = F.greatest(F.col("q75") - F.col("q25"), F.lit(least)) * reach
+    for rule, (_, reach, least, lower) in RULES.items():
+        spread = F.greatest(F.col("high") - F.col("q25"), F.lit(least)) * reach
         mine = F.col("rule") == rule
-        limits.append(F.max(F.when(mine, F.col("q75") + spread)).alias(f"high_{rule}"))
+        limits.append(F.max(F.when(mine, F.col("high") + spread)).alias(f"high_{rule}"))
         if lower:
             limits.append(F.max(F.when(mine, F.col("q25") - spread)).alias(f"low_{rule}"))
     return chosen.groupBy("lang", "source").agg(*limits)
@@ -164,7 +167,7 @@ def judge(docs: DataFrame, *, id_col: str = "doc_id", lang_col: str = "lang",
         F.expr("n_words < 50 OR 100 * n_repeat_words > 50 * n_words").alias("base_failed"),
     ), "quality-stats")
     within = ~F.col("base_failed")
-    for rule, (_, _, lower) in RULES.items():
+    for rule, (*_, lower) in RULES.items():
         within = within & (F.col(f"d.{rule}") <= F.col(f"f.high_{rule}"))
         if lower:
             within = within & (F.col(f"d.{rule}") >= F.col(f"f.low_{rule}"))
