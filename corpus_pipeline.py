@@ -15,7 +15,7 @@ SHARDS = 40
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below the threshold; learnt from all labelled documents."""
+    """Documents that score below the threshold; learnt from labelled documents, up to ``linear.MAX_LABELS``."""
     return linear.drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 

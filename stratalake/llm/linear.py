@@ -7,8 +7,10 @@ vector gets unit length, and logistic regression with a quadratic penalty is
 trained on it by gradient steps.
 
 Labels are used up to ``max_labels`` documents, those with the smallest hash of
-their id, so the sample is the same at any parallelism; it fits in one task, and
-its ids may be handed to every task.  Scoring is one pass over the whole texts
+their id among labels that have a document, so the sample is the same at any
+parallelism and its ids may be handed to every task.  Features are made where the
+texts are; the one task that trains holds only their numbers, 4 bytes for each, at
+most 2^20 of a document.  Scoring is one pass over the whole texts
 with no shuffle: a task holds the weights, 16 bytes for each of 2^20 features.
 
 A NULL or empty text has no features and gets the score of the intercept.  A
@@ -64,8 +66,8 @@ def ngram_ids(text: bytes) -> np.ndarray:
     return np.unique(np.concatenate(some)) if some else np.empty(0, np.int32)
 
 
-def train(texts: list[bytes], labels: list[int], penalty: float = PENALTY, steps: int = STEPS) -> np.ndarray:
-    """Weight of each feature, log-count ratio included, and the intercept at the end."""
+def train(rows: list[np.ndarray], labels: list[int], penalty: float = PENALTY, steps: int = STEPS) -> np.ndarray:
+    """Weight of each feature, log-count ratio included, and the intercept at the end; rows as of ``ngram_ids``."""
     size = 1 << BITS
     y = np.asarray(labels, float)
     if not len(y) or y.min() == y.max():
@@ -73,10 +75,8 @@ def train(texts: list[bytes], labels: list[int], penalty: float = PENALTY, steps
         weights = np.zeros(size + 1)
         weights[-1] = np.log((share + 1e-9) / (1 - share + 1e-9))
         return weights
-    rows = [ngram_ids(t) for t in texts]
     columns = np.concatenate(rows)
     owner = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
-    del rows
     one = np.bincount(columns, y[owner], size)
     zero = np.bincount(columns, minlength=size) - one
     ratio = np.log((1 + one) / (1 + y.sum())) - np.log((1 + zero) / (1 + (1 - y).sum()))
@@ -114,27 +114,31 @@ def probability(text: bytes, model: np.ndarray) -> float:
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "toxic", max_labels: int = MAX_LABELS) -> np.ndarray:
     """Model from the labelled documents; training runs in one task on the bounded sample."""
+    plain = docs.select(column(id_col).alias("id"), column(text_col).cast("string").alias("text"))
     known = (
         labels.select(column(id_col).alias("id"), column(label_col).cast("int").alias("y"))
         .where(F.col("id").isNotNull() & F.col("y").isNotNull())
         .groupBy("id").agg(F.max("y").alias("y"))
+        .join(plain.select("id"), "id", "left_semi")
         .orderBy(F.xxhash64("id"), "id").limit(max_labels)
     )
-    picked = docs.select(column(id_col).alias("id"), column(text_col).cast("string").alias("text")).join(
-        F.broadcast(known), "id")
+    picked = plain.join(F.broadcast(known), "id")
     # A document of many rows counts once, with its least text.
     once = picked.groupBy("id", "y").agg(F.min("text").alias("text"))
+    featured = append_by_batch(
+        once, "features", T.BinaryType(), lambda batch: [ngram_ids(t).tobytes() for t in utf8(batch, "text")])
 
     def learn(batches):
-        texts, ys = [], []
+        rows, ys = [], []
         for batch in batches:
-            texts += utf8(batch, "text")
+            rows += utf8(batch, "features")
             ys += batch.column(batch.schema.get_field_index("y")).to_pylist()
-        order = sorted(range(len(texts)), key=lambda i: (texts[i], ys[i]))
-        model = train([texts[i] for i in order], [ys[i] for i in order])
+        order = sorted(range(len(rows)), key=lambda i: (rows[i], ys[i]))
+        model = train([np.frombuffer(rows[i], np.int32) for i in order], [ys[i] for i in order])
         yield pa.RecordBatch.from_arrays([pa.array([model.tobytes()], pa.binary())], names=["model"])
 
-    made = once.select("y", "text").coalesce(1).mapInArrow(learn, "model binary").first()
+    # An exchange, not coalesce, so that features are not made in the task that trains.
+    made = featured.select("y", "features").repartition(1).mapInArrow(learn, "model binary").first()
     return np.frombuffer(made["model"]) if made else train([], [])
 
 
