@@ -1,10 +1,11 @@
-"""Repeated byte strings, found by refining buckets of suffixes.
+"""Repeated byte strings, found by refining buckets of windows.
 
 Every window of 200 bytes is put into a bucket by its least q-gram (the q-gram of
 least hash among those in the window), so equal windows share a bucket whatever
 surrounds them.  Neighbouring windows mostly share theirs, at one place, so a run of
-them is one row.  A bucket is refined as in bucket-pointer refinement, by identifiers of
-what lies at later offsets:
+them is one row.  No suffixes are ordered and no bucket pointers are followed: this
+replaces bucket-pointer refinement, whose suffixes would be a row for each byte.  A
+bucket is refined by hashes:
 
 * the run's whole text: equal runs are repeated, all of their windows;
 * a deeper q-gram, for the windows of runs that are still alone in a bucket of
