@@ -12,7 +12,8 @@ the r-th takes the r-th block of the source's documents, which are put into
 seeded random order, repeated, and cut into blocks of equal words.  The sequence
 of points is even, but not exact, so slots beyond a source's target are dropped
 and missing ones follow at the end; the last block of a source is cut at its
-target.
+target.  So every block up to the target has a slot: the schedule only orders the mix
+(``first_slot`` of ``mix_report``), and what is taken follows from the targets alone.
 
 DataFrame functions only.  Running totals over a source's documents and over its
 slots are summed in two levels, within pieces of bounded size and over pieces, so
