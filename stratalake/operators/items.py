@@ -78,11 +78,50 @@ def last_write_wins(df: DataFrame, order: Sequence[str], key: Sequence[str] = IT
     )
 
 
+def single_write(df: DataFrame, order: Sequence[str] | None, key: Sequence[str] = ITEM_KEY) -> DataFrame:
+    """One row per key: the last in ``order``; rows of a key without an order must be equal, or the job fails."""
+    if order:
+        return last_write_wins(df, order, key)
+    if set(df.columns) == set(key):
+        return df.distinct()
+    row = F.struct(*[c for c in df.columns if c not in key])
+    message = F.concat_ws(" ", F.lit("several writes without an order under"), *key)
+    one = F.when(F.min(row).eqNullSafe(F.max(row)), F.max(row)).otherwise(F.raise_error(message))
+    return df.groupBy(*key).agg(one.alias("_w")).select(*key, "_w.*")
+
+
 def to_documents(df: DataFrame, key: Sequence[str] = ITEM_KEY) -> DataFrame:
     """(PK, SK, document): attributes as JSON without NULLs, dates as ISO text."""
     return df.select(*key, F.to_json(F.struct(*df.columns)).alias("document"))
 
 
+def record_changes(before: DataFrame, after: DataFrame, ignore: Sequence[str] = ()) -> DataFrame:
+    """(PK, SK, operation, document) that turn the items ``before`` into those ``after``.
+
+    Only keys and fingerprints of both sides meet; documents are made of changed items alone.  Keys are
+    single on either side.  Attributes in ``ignore``, such as the time of the load, make no change.
+    """
+    compared = [c for c in after.columns if c not in (*ITEM_KEY, *ignore)]
+
+    def marked(df: DataFrame, side: str) -> DataFrame:
+        return df.select(*ITEM_KEY, F.md5(F.to_json(F.struct(*compared))).alias(side))
+
+    sides = marked(before, "old").unionByName(marked(after, "new"), allowMissingColumns=True).groupBy(*ITEM_KEY).agg(
+        F.max("old").alias("old"), F.max("new").alias("new")).filter(~F.col("old").eqNullSafe(F.col("new")))
+    changed = to_documents(after).join(sides.filter("new is not null").select(*ITEM_KEY), ITEM_KEY, "left_semi")
+    gone = sides.filter("new is null").select(*ITEM_KEY, F.lit("delete").alias("operation"), F.lit(None).cast("string").alias("document"))
+    return changed.select(*ITEM_KEY, F.lit("put").alias("operation"), "document").unionByName(gone)
+
+
+def search_changes(refresh: DataFrame, kind: str) -> DataFrame:
+    """(PK, SK, operation, document) of the rows of ``token_refresh``."""
+    keys = refresh.select(
+        F.lit(f"SEARCH#{kind}").alias("PK"),
+        key_path("token", F.col("token"), F.col("field"), kind, F.col("entity_id")).alias("SK"), "operation",
+    )
+    return keys.withColumn("document", F.when(F.col("operation") == "put", F.to_json(F.struct(*ITEM_KEY))))
+
+
 def token_refresh(
     before: DataFrame, after: DataFrame, actions: DataFrame, entity: str
 ) -> DataFrame:

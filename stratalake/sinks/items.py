@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.operators.items import ITEM_KEY, item_partitions, to_documents
+from stratalake.operators.items import ITEM_KEY, item_partitions, single_write, to_documents
 from stratalake.operators.quality import QualityError
 
 # Share of failed token writes that fails a load.
@@ -14,17 +16,18 @@ MAX_TOKEN_FAILURES = 0.01
 
 def write_items(
     df: DataFrame, path: str, item_kind: str, expected: int | None = None, per_task: int = 5000,
-    per_file: int = 5_000_000,
+    per_file: int = 5_000_000, order: Sequence[str] | None = None,
 ) -> None:
     """Replace all items of a kind, also with none; other kinds stay.
 
-    An item key is written once: of several documents the last in text order stays.
+    An item key is written once: of several items the last in ``order`` stays, a list of their
+    attributes.  Without an order, different items under one key fail the write.
 
     Items are spread over tasks without regard to their keys: all search items
     share one PK.  With an ``expected`` count the writers get about ``per_task``
     items each, otherwise items are written where they are and only files are cut.
     """
-    documents = to_documents(df).groupBy(*ITEM_KEY).agg(F.max("document").alias("document"))
+    documents = to_documents(single_write(df, order).select(*df.columns))
     if expected is not None:
         documents = documents.repartition(item_partitions(expected, per_task))
     (

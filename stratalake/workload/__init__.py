@@ -27,5 +27,5 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 def load_all() -> None:
     """Import every module that registers queries."""
     from stratalake.workload import (  # noqa: F401
-        checks, concepts, fda, ingest, reports, serving, shaping, versions,
+        checks, concepts, fda, ingest, reports, serving, shaping, store, versions,
     )
