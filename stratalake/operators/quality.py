@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -55,6 +55,18 @@ def code_validity(df: DataFrame, code: str, digits: int = 11, prefix: str = "ndc
     })
 
 
+def sample_per_reason(rejects: DataFrame, reason: str, k: int, columns: Sequence[str] | None = None) -> DataFrame:
+    """Up to ``k`` rejects of each reason, those of least hash: the same rows however they are dealt.
+
+    Each task keeps its own first ``k`` of a reason before anything is shuffled, so a reason that
+    holds most rejects sends no more than the others.  Equal rows have equal hashes and may all be kept.
+    """
+    drawn = F.md5(F.to_json(F.struct(*(columns or rejects.columns))))
+    order = Window.partitionBy(reason).orderBy("_drawn", *(columns or []))
+    return rejects.withColumn("_drawn", drawn).withColumn("_place", F.row_number().over(order)).filter(
+        F.col("_place") <= k).drop("_drawn", "_place")
+
+
 def validity_report(df: DataFrame, is_valid: Column) -> DataFrame:
     """One row: ``total``, ``valid``, ``invalid`` and the valid share in percent."""
     counted = df.agg(
@@ -68,6 +80,21 @@ def validity_report(df: DataFrame, is_valid: Column) -> DataFrame:
     )
 
 
+def require_tables(spark: SparkSession, expected: Mapping[str, Sequence[str]]) -> None:
+    """Fail with every table that the catalog lacks, and every column that a table lacks.
+
+    Only the catalog is asked; no job runs.
+    """
+    problems = [f"no table {t}" for t in missing_tables(spark, list(expected))]
+    absent = {p.removeprefix("no table ") for p in problems}
+    for name, wanted in expected.items():
+        if name not in absent:
+            known = {c.lower() for c in spark.table(name).columns}
+            problems += [f"no column {c} in {name}" for c in wanted if c.lower() not in known]
+    if problems:
+        raise QualityError("sources are not ready: " + "; ".join(problems))
+
+
 def missing_tables(spark: SparkSession, expected: Sequence[str]) -> list[str]:
     """Expected tables that the catalog does not have."""
     return [t for t in expected if not spark.catalog.tableExists(t)]

@@ -6,11 +6,13 @@ import posixpath
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stratalake.operators import columns, quality
 from stratalake.plans import concepts
 from stratalake.plans import datasets as ds
 from stratalake.plans.daily import Layout, apply_snapshot
+from stratalake.session import staged
 from stratalake.sinks import tables
 from stratalake.sinks.versioned import VersionedTable
 from stratalake.sources import documents, files
@@ -69,10 +71,16 @@ def run_monthly(
             silver["rxnorm_ndc_mappings"], "rxnorm_ndc_mappings", run_date
         ),
     }
+    unheard: dict[str, DataFrame] = {}
     if responses is not None:
         asked = columns.require_key(responses, "product_rxcui")
+        readable, unreadable = documents.split_responses(asked)
+        rejected_path = posixpath.join(layout.bronze, "rejects", "rxclass_responses")
+        if tables.write_rejects(unreadable, rejected_path, run_id):
+            # Their products keep the classes that they had.
+            unheard["rxnorm_product_classifications"] = unreadable.select(F.col("product_rxcui").alias("rxcui"))
         members = stored(
-            documents.drug_class_rows(asked, run_id).distinct(),
+            documents.drug_class_rows(readable, run_id).distinct(),
             posixpath.join(layout.silver, "rxclass_drug_members"),
         )
         snapshots["rxnorm_product_classifications"] = concepts.class_snapshot(
@@ -85,7 +93,7 @@ def run_monthly(
             spark, posixpath.join(layout.gold, name), key, business, buckets, name if buckets else None
         )
         statistics[name] = apply_snapshot(
-            gold, snapshot, posixpath.join(layout.gold, "rejects", name), run_date, run_id
+            gold, snapshot, posixpath.join(layout.gold, "rejects", name), run_date, run_id, unheard.get(name)
         )
     return statistics
 
@@ -95,7 +103,11 @@ def load_classes(
     min_rows: int = ds.CLASS_MIN_ROWS,
 ) -> DataFrame:
     """The class list: parsed, checked and kept as one small file."""
-    parsed = documents.read_json_documents(spark, document_path, documents.CLASS_LIST_SCHEMA)
+    checked = staged(documents.read_checked_documents(spark, document_path, documents.CLASS_LIST_SCHEMA), "class-documents")
+    parsed, unreadable = files.split_malformed(checked)
+    if not unreadable.isEmpty():
+        # The list counts as complete, so a part of it must not pass for the whole.
+        raise quality.QualityError(f"unreadable class list in {unreadable.first().source_file}")
     rows = documents.class_rows(parsed, run_id)
     quality.gate_completeness(
         rows, ds.CLASS_REQUIRED, ds.CLASS_CRITICAL, ds.CLASS_MAX_MISSING, min_rows

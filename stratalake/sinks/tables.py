@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratalake.session import staged
+
 CODEC = "zstd"
 
 
@@ -12,7 +14,8 @@ def overwrite(df: DataFrame, path: str, codec: str = CODEC, partition_by: str |
               single_file: bool = False) -> None:
     """Replace an output.  ``single_file`` is for small reference tables only."""
     if single_file:
-        df = df.coalesce(1)
+        # Written first, so that only finished rows go through the one task.
+        df = staged(df, "single-file").coalesce(1)
     writer = df.write.mode("overwrite").option("compression", codec)
     # Replace everything, also where the session defaults to dynamic overwrite.
     writer = writer.option("partitionOverwriteMode", "static")
@@ -47,12 +50,26 @@ def append_batch(df: DataFrame, path: str, batch_id: str, codec: str = CODEC) ->
 
 
 def keep_raw_text(df: DataFrame, column: str, path: str, run_id: str) -> None:
-    """Keep source documents as they came, one per line, under the run."""
-    df.select(F.col(column).alias("value"), F.lit(run_id).alias("run_id")).write.mode(
+    """Keep texts of one line each under the run; one with a line break fails the write.
+
+    Whole documents go through ``keep_documents``.
+    """
+    value = F.when(F.col(column).rlike(r"[\r\n]"), F.raise_error(F.lit("a text with line breaks is no line"))).otherwise(F.col(column))
+    df.select(value.alias("value"), F.lit(run_id).alias("run_id")).write.mode(
         "overwrite"
     ).option("partitionOverwriteMode", "dynamic").partitionBy("run_id").text(path)
 
 
+def keep_documents(documents: DataFrame, path: str, run_id: str, codec: str = CODEC) -> None:
+    """Keep whole documents byte for byte under the run, replacing those of an earlier attempt.
+
+    ``documents`` has ``path`` (or another name), ``length`` and ``content``, as Spark's binary file
+    source gives them; the digest is added.
+    """
+    kept = documents.select("path", "length", F.sha2("content", 256).alias("digest"), "content")
+    replace_partitions(kept.withColumn("run_id", F.lit(run_id)), path, "run_id", codec)
+
+
 def append_run_metrics(spark: SparkSession, path: str, metrics: DataFrame) -> None:
     """Add a one-row run summary."""
     metrics.coalesce(1).write.mode("append").parquet(path)

@@ -152,6 +152,10 @@ class VersionedTable:
         writes them.  A first load is written at once, its keys checked on the way.
         """
         commits = self.commits().collect()
+        newest = max((r.run_date for r in commits), default=run_date)
+        if run_date < newest:
+            # Its closed rows would end before they began.
+            raise ValueError(f"a run of {run_date} after one of {newest}")
         stored = self._open_and_closed()
         existing = None if stored is None else stored[0]
         version = 1 + max((r.version for r in commits), default=0)

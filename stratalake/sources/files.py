@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import logging
 import posixpath
+import re
 from collections.abc import Iterable, Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +15,9 @@ from pyspark.sql import types as T
 from stratalake.functions.casting import release_stamp
 from stratalake.operators.columns import apply_schema, stamp
 from stratalake.operators.quality import require_rows
+from stratalake.session import staged
+
+_RUN_FOLDER = re.compile(r"/run_id=([^/]+)/")
 
 log = logging.getLogger(__name__)
 
@@ -34,6 +39,45 @@ def read_delimited(spark: SparkSession, path: str, delimiter: str = ",") -> Data
     return require_rows(df, path)
 
 
+# Columns that checked readers add, and what a rejected record is kept with.
+CORRUPT, SOURCE_FILE, SOURCE_BLOCK = "_corrupt_record", "_source_file", "_source_block"
+
+
+def read_delimited_checked(spark: SparkSession, path: str, delimiter: str = ",") -> DataFrame:
+    """As ``read_delimited``, with the text of records that do not fit the header, file and block.
+
+    A record with too few or too many fields, or with broken quotes, has its text in
+    ``_corrupt_record``.  Write the frame before ``split_malformed``: Spark does not answer for that
+    column alone from the files.
+    """
+    names = read_delimited(spark, path, delimiter).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, CORRUPT]])
+    # Without pruning, as a parser that skips fields does not notice that some are missing.
+    raw = spark.read.option("columnPruning", False).csv(
+        path, schema=schema, header=True, sep=delimiter, mode="PERMISSIVE",
+        columnNameOfCorruptRecord=CORRUPT, enforceSchema=True)
+    return with_source(raw)
+
+
+def with_source(df: DataFrame) -> DataFrame:
+    """The frame with file and block that each record came from."""
+    return df.select("*", F.col("_metadata.file_path").alias(SOURCE_FILE),
+                     F.col("_metadata.file_block_start").alias(SOURCE_BLOCK))
+
+
+def split_malformed(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good rows, rejects): every record is in one of them.
+
+    A reject has file, block, the record's text and the reason ``malformed record``.
+    """
+    added = [CORRUPT, SOURCE_FILE, SOURCE_BLOCK]
+    good = checked.filter(F.col(CORRUPT).isNull()).drop(*added)
+    bad = checked.filter(F.col(CORRUPT).isNotNull()).select(
+        F.col(SOURCE_FILE).alias("source_file"), F.col(SOURCE_BLOCK).alias("source_block"),
+        F.col(CORRUPT).alias("record"), F.lit("malformed record").alias("reason"))
+    return good, bad
+
+
 def read_positional(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     """Headerless pipe file, quotes taken literally, columns named by position.
 
@@ -79,6 +123,30 @@ def load_delimited_set(
     return {t: frames[t] for t in dict.fromkeys(files.values())}
 
 
+def load_checked_set(
+    spark: SparkSession, folder: str, files: Mapping[str, str], run_id: str,
+    delimiter: str = ",", schemas: Mapping[str, Mapping] | None = None,
+) -> tuple[dict[str, DataFrame], DataFrame]:
+    """As ``load_delimited_set``, but records that do not fit their file's header are rejected.
+
+    Returns the frames by table and one frame of rejects with the ``target_table`` each was meant for.
+    Every file is parsed once, into a written table that both come from.
+    """
+    schemas = schemas or {}
+    frames: dict[str, DataFrame] = {}
+    rejects = None
+    matched = match_files(landed_paths(spark, folder), files)
+    lost = {t for t in files.values() if t not in matched.values()}
+    named = [(posixpath.join(folder, n), t) for n, t in files.items() if t in lost]
+    for path, table in sorted(matched.items()) + named:
+        good, bad = split_malformed(staged(read_delimited_checked(spark, path, delimiter), "checked"))
+        df = stamp(apply_schema(good, schemas.get(table)), meta_run_id=run_id)
+        frames[table] = frames[table].unionByName(df, allowMissingColumns=True) if table in frames else df
+        bad = bad.withColumn("target_table", F.lit(table))
+        rejects = bad if rejects is None else rejects.unionByName(bad)
+    return {t: frames[t] for t in dict.fromkeys(files.values())}, rejects
+
+
 def landed_paths(spark: SparkSession, folder: str) -> list[str]:
     """Files of one drop: a listing, their content is not read."""
     listed = spark.read.format("binaryFile").load(folder).select("path")
@@ -117,13 +185,13 @@ def read_runs(spark: SparkSession, base: str, schema: str) -> DataFrame:
 
 
 def latest_run(df: DataFrame) -> DataFrame:
-    """Rows of the newest run.
+    """Rows of the newest run that landed, of a frame from ``read_runs``.
 
-    The newest id is one value, so this is a broadcast join on it and the scan
-    prunes the other runs.
+    The newest id comes from the names of the files, which the session has listed anyway; no file
+    is opened for it, and the scan has a literal filter on its partitions.
     """
-    newest = df.agg(F.max("run_id").alias("run_id"))
-    return df.join(F.broadcast(newest), "run_id", "left_semi")
+    runs = {unquote(m.group(1)) for f in df.inputFiles() if (m := _RUN_FOLDER.search(f))}
+    return df.filter(F.col("run_id") == max(runs)) if runs else df.limit(0)
 
 
 def newest_release(df: DataFrame, name: str) -> DataFrame:
