@@ -166,7 +166,8 @@ def frequent_bitmap(plain: DataFrame, least: int) -> np.ndarray:
                          "packed": pa.array([zlib.compress(np.packbits(bits).tobytes(), 1)], pa.binary())})
 
     bitmap = np.zeros(1 << (MAP_BITS - 3), np.uint8)
-    for r in rows_by_batch(plain, schema, make).groupBy("part").applyInArrow(add_up, schema).toLocalIterator():
+    sent = rows_by_batch(plain, schema, make).repartition(1 << part_bits, "part")
+    for r in sent.groupBy("part").applyInArrow(add_up, schema).collect():
         bits = np.frombuffer(zlib.decompress(r.packed), np.uint8)
         bitmap[r.part * len(bits):(r.part + 1) * len(bits)] = bits
     return bitmap
