@@ -17,9 +17,12 @@ Components are found by alternating star contraction on the confirmed links.
 Buckets that still hold several components get a second round.  What the first one
 measured bounds what any other pair can have in common: shingles that no other
 node of these buckets has, and shingles of the centre that a node has lost, which
-another node that kept them cannot share.  A pair is formed only if the bounds of
-both sides allow a link, in the first bucket that it shares; no link between
-candidates is lost, and groups of loosely similar texts do not meet pair by pair.
+another node that kept them cannot share.  Nodes that no other of their bucket can
+link with leave first.  The rest is looked at in blocks of a bounded number of nodes,
+where numbers alone are compared: a pair becomes a row only if the bounds of both
+sides allow a link and its registers do, in the first bucket that it shares.  No link
+between candidates is lost, and a group of loosely similar texts is never written
+out pair by pair.
 
 Every round is written to the shared folder.  Nothing is collected: hot buckets
 are aggregated before they are shuffled, and joins are left to adaptive
@@ -54,6 +57,8 @@ MANTISSA = 10
 # Standard deviations that an estimate may lie below the threshold.
 MARGIN = 5.0
 PIECE = 1 << 20
+# Nodes of a bucket in one block of the second round.
+BLOCK = 1024
 
 _LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
 _SPACE = re.compile(rb"[\x20\x09-\x0d]")
@@ -144,6 +149,11 @@ def estimated(same, a, b):
     return (same / REGISTERS - chance) / (1 - chance)
 
 
+def met(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
+    """A join whose sides grow with the input: shuffled at every size, never broadcast by the driver."""
+    return left.join(right.hint("merge"), on, how)
+
+
 def sketch(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, row, n_shingles, node, registers) of each row; node names its set, NULL if empty."""
     kind = docs.schema[id_col].dataType
@@ -179,28 +189,28 @@ def shared_bands(nodes: DataFrame) -> DataFrame:
     """Bands of several nodes, with their number of nodes."""
     every = nodes.select(F.explode(bands_of()).alias("band"), "node")
     counts = every.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    return every.join(counts, "band")
+    return met(every, counts, "band")
 
 
 def bucket_centres(shared: DataFrame) -> DataFrame:
     """(band, centre): the node of most company over all of its bands."""
     weights = shared.groupBy("node").agg(F.sum("size").alias("weight"))
-    weighed = shared.select("band", "node").join(weights, "node")
+    weighed = met(shared.select("band", "node"), weights, "node")
     return weighed.groupBy("band").agg(F.max(F.struct("weight", "node"))["node"].alias("centre"))
 
 
 def centre_pairs(shared: DataFrame, centres: DataFrame) -> DataFrame:
     """(a, b): each node with the centre of each of its buckets."""
-    return shared.select("band", "node").join(centres, "band").where("node <> centre").select(
+    return met(shared.select("band", "node"), centres, "band").where("node <> centre").select(
         F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
 
 
 def mixed_buckets(shared: DataFrame, linked: DataFrame) -> DataFrame:
     """(band, node, component) of buckets that hold several components."""
-    placed = shared.select("band", "node").join(linked, "node", "left").withColumn(
+    placed = met(shared.select("band", "node"), linked, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     mixed = placed.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-    return placed.join(mixed.select("band"), "band")
+    return met(placed, mixed.select("band"), "band")
 
 
 def alone(texts: DataFrame) -> DataFrame:
@@ -225,7 +235,7 @@ def crossing_pairs(
     mixed: DataFrame, nodes: DataFrame, centres: DataFrame, measured: DataFrame, unique: DataFrame,
     tested: DataFrame,
 ) -> DataFrame:
-    """(a, b): pairs of different components that share a bucket and may be linked.
+    """(a, b): pairs of different components that share a bucket and may be linked, by their bounds and registers.
 
     With sizes x and y, a link needs c >= p (x + y) / (p + q) common shingles for a similarity of
     p / q.  Two bounds on what y has and x has not rule pairs out.
@@ -235,49 +245,119 @@ def crossing_pairs(
       alone in y comes on top, as the centre has it not.
     """
     p, q = LEAST
-    sizes = nodes.select("node", F.col("n_shingles").alias("n"), bands_of().alias("bands"))
+    sizes = nodes.select("node", F.col("n_shingles").alias("n"), "registers", bands_of().alias("bands"))
     centre_sizes = nodes.select(F.col("node").alias("centre"), F.col("n_shingles").alias("centre_n"))
     common = measured.select(F.col("a").alias("ma"), F.col("b").alias("mb"), "common")
-    known = (
-        mixed.join(sizes, "node").join(unique, "node", "left").withColumn("alone", F.coalesce("alone", F.lit(0)))
-        .join(centres, "band").join(centre_sizes, "centre")
-        .join(common, (F.least("node", "centre") == F.col("ma")) & (F.greatest("node", "centre") == F.col("mb")), "left")
-    )
+    known = met(met(mixed, sizes, "node"), unique, "node", "left").withColumn("alone", F.coalesce("alone", F.lit(0)))
+    known = met(met(known, centres, "band"), centre_sizes, "centre")
+    known = met(known, common, (F.least("node", "centre") == F.col("ma")) & (F.greatest("node", "centre") == F.col("mb")), "left")
     is_centre = F.col("node") == F.col("centre")
     lost = F.when(is_centre, 0).otherwise(F.col("centre_n") - F.col("common"))
     spare = F.when(is_centre, 0).otherwise(F.coalesce(lost, F.col("centre_n")) - F.col("alone"))
     bounded = known.select(
-        "band", "node", "component", "n",
+        "band", "node", "component", "n", "registers",
         ((p + q) * (F.col("n") - F.col("alone")) - p * F.col("n")).alias("room"),
         ((p + q) * F.coalesce(lost, F.lit(0)) + p * F.col("n")).alias("needs"),
         (q * F.col("n") + (p + q) * spare).alias("gives"),
         F.expr("slice(bands, 1, cast(array_position(bands, band) - 1 as int))").alias("earlier"))
-    # First against the extremes of the bucket, then pair by pair.
+    # First against the extremes of the bucket, then pair by pair within blocks.
     extremes = bounded.groupBy("band").agg(
         F.min("n").alias("least_n"), F.max("gives").alias("most"), F.min("needs").alias("least_needs"))
-    able = bounded.join(extremes, "band").where(
+    able = met(bounded, extremes, "band").where(
         (F.col("room") >= p * F.col("least_n")) & (F.col("needs") <= F.col("most"))
         & (F.col("gives") >= F.col("least_needs"))).drop("least_n", "most", "least_needs")
     able = staged(able, "near-able")
-    left, right = able.alias("l"), able.alias("r")
-    pairs = left.join(right, "band").where(
-        (F.col("l.component") < F.col("r.component"))
-        & (F.col("l.room") >= p * F.col("r.n")) & (F.col("r.room") >= p * F.col("l.n"))
-        & (F.col("l.needs") <= F.col("r.gives")) & (F.col("r.needs") <= F.col("l.gives"))
-        & ~F.arrays_overlap("l.earlier", "r.earlier"))
-    return pairs.select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b")).join(
-        tested, ["a", "b"], "left_anti")
+    found = block_pairs(able)
+    return met(found, tested, ["a", "b"], "left_anti")
+
+
+def block_pairs(able: DataFrame) -> DataFrame:
+    """(a, b): pairs of a bucket that their bounds and registers allow, from blocks of ``BLOCK`` nodes.
+
+    A bucket of more nodes is dealt over several lines, and every two lines meet in a block of their own.
+    """
+    p, q = LEAST
+    lines = able.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("lines"),
+                                     F.count(F.lit(1)).alias("size")).where("size > 1").drop("size")
+    dealt = met(able, lines, "band").withColumn("line", F.pmod(F.xxhash64("node"), F.col("lines").cast("long")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("lines") - 1)))
+    block = F.xxhash64("band", F.least("line", "other"), F.greatest("line", "other"))
+    columns = ["block", "band", "line", "other", "node", "component", "n", "room", "needs", "gives", "registers", "earlier"]
+    placed = dealt.withColumn("block", block).select(*columns).repartition("block").sortWithinPartitions("block", "band")
+    schema = T.StructType([T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType())])
+    floor = estimate_floor()
+
+    def pairs_of(group: pa.Table) -> tuple[list, list]:
+        number = {name: group[name].to_numpy() for name in ("n", "room", "needs", "gives", "line")}
+        n, room, needs, gives, line = number.values()
+        component = group["component"].combine_chunks().dictionary_encode().indices.to_numpy()
+        marks = np.frombuffer(b"".join(group["registers"].to_pylist()), np.uint16).reshape(-1, REGISTERS)
+        nodes, earlier = group["node"].to_pylist(), None
+        first, second = [], []
+        two_lines = line.min() != line.max()
+        for x in range(len(n) - 1):
+            y = np.arange(x + 1, len(n))
+            fits = (component[y] != component[x]) & (room[x] >= p * n[y]) & (room[y] >= p * n[x]) \
+                & (needs[x] <= gives[y]) & (needs[y] <= gives[x]) \
+                & (np.minimum(n[x], n[y]) * q >= np.maximum(n[x], n[y]) * p)
+            if two_lines:
+                fits &= line[y] != line[x]
+            y = y[fits]
+            if len(y):
+                y = y[estimated((marks[y] == marks[x]).sum(axis=1), n[x], n[y]) >= floor]
+            for at in y.tolist():
+                if earlier is None:
+                    earlier = [set(bands) for bands in group["earlier"].to_pylist()]
+                if earlier[x].isdisjoint(earlier[at]):
+                    first.append(min(nodes[x], nodes[at]))
+                    second.append(max(nodes[x], nodes[at]))
+        return first, second
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for group in runs(batches, "block"):
+            bands, line, other = (group[name].to_numpy() for name in ("band", "line", "other"))
+            cells = np.stack([bands, np.minimum(line, other), np.maximum(line, other)], axis=1)
+            # Different blocks may share a hash.
+            for cell in np.unique(cells, axis=0) if (cells != cells[0]).any() else cells[:1]:
+                own = (cells == cell).all(axis=1)
+                first, second = pairs_of(group if own.all() else group.filter(pa.array(own)))
+                if first:
+                    yield {"a": first, "b": second}
+
+    return rows_by_batch(placed, schema, make)
+
+
+def runs(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[pa.Table]:
+    """The rows of each value of a column, by which the batches are sorted."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        values = batch.column(name).to_numpy()
+        cuts = [0, *(np.flatnonzero(values[1:] != values[:-1]) + 1).tolist(), len(values)]
+        for start, end in zip(cuts, cuts[1:]):
+            if start == end:
+                continue
+            if held and held[-1].column(name)[0].as_py() != values[start]:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(start, end - start))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def estimate_floor() -> float:
+    """The least estimate of a pair that may be linked."""
+    least = LEAST[0] / LEAST[1]
+    return least - MARGIN * float(np.sqrt(least * (1 - least) / REGISTERS))
 
 
 def likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The pairs whose estimate does not rule out a link."""
     bits = nodes.select("node", "registers", "n_shingles")
-    both = pairs.join(bits.select(F.col("node").alias("a"), F.col("registers").alias("ra"), F.col("n_shingles").alias("na")), "a") \
-        .join(bits.select(F.col("node").alias("b"), F.col("registers").alias("rb"), F.col("n_shingles").alias("nb")), "b")
+    both = met(met(pairs, bits.select(F.col("node").alias("a"), F.col("registers").alias("ra"), F.col("n_shingles").alias("na")), "a"),
+               bits.select(F.col("node").alias("b"), F.col("registers").alias("rb"), F.col("n_shingles").alias("nb")), "b")
     sized = both.where(F.least("na", "nb") * LEAST[1] >= F.greatest("na", "nb") * LEAST[0])
     schema = T.StructType([T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType())])
-    least = LEAST[0] / LEAST[1]
-    floor = least - MARGIN * np.sqrt(least * (1 - least) / REGISTERS)
+    floor = estimate_floor()
 
     def make(batches):
         for batch in batches:
@@ -294,8 +374,8 @@ def measured_pairs(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs with their common shingles, counted on the full sets, and whether they are linked."""
     schema = T.StructType([T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType()),
                            T.StructField("common", T.LongType()), T.StructField("linked", T.BooleanType())])
-    both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(
-        texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
+    both = met(met(pairs, texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a"),
+               texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
 
     def make(batches):
         last, mine = None, None
@@ -318,11 +398,11 @@ def measured_pairs(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def node_texts(docs: DataFrame, sketches: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(node, text): one text of each node in ``wanted``."""
-    holders = sketches.join(wanted, "node").groupBy("node").agg(F.min(F.struct("row", "doc_id")).alias("h")).select(
+    holders = met(sketches, wanted, "node").groupBy("node").agg(F.min(F.struct("row", "doc_id")).alias("h")).select(
         "node", "h.row", F.col("h.doc_id").alias("holder"))
     plain = docs.select(column(id_col).alias("doc_id"), row_hash(docs).alias("row"),
                         column(text_col).cast("string").alias("text"))
-    found = plain.join(holders, (plain["row"] == holders["row"]) & plain["doc_id"].eqNullSafe(holders["holder"]))
+    found = met(plain, holders, (plain["row"] == holders["row"]) & plain["doc_id"].eqNullSafe(holders["holder"]))
     return found.groupBy("node").agg(F.min("text").alias("text"))
 
 
@@ -339,10 +419,10 @@ def components(links: DataFrame) -> DataFrame:
         both = stars.unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
         # Large star: greater neighbours of a node move to its least one.
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = met(both, least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         # Small star: a node and its lesser neighbours move to the least of them.
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        small = met(large, least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         stars = staged(least.select("a", F.col("m").alias("b")).unionByName(small).distinct(), "near-stars")
 
 
@@ -360,16 +440,16 @@ def find_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: s
     links = first.where("linked").select("a", "b")
     linked = components(links)
     mixed = staged(mixed_buckets(shared, linked), "near-mixed")
-    unique = alone(texts.join(mixed.select("node").distinct(), "node"))
+    unique = alone(met(texts, mixed.select("node").distinct(), "node"))
     crossing = crossing_pairs(mixed, nodes, centres, first, unique, tested)
-    second = staged(measured_pairs(likely(crossing, nodes), texts), "near-measured").where("linked").select("a", "b")
+    second = staged(measured_pairs(crossing, texts), "near-measured").where("linked").select("a", "b")
     if not second.isEmpty():
         linked = components(links.unionByName(second))
-    named = nodes.select("node", "least_id").join(linked, "node", "left").withColumn(
+    named = met(nodes.select("node", "least_id"), linked, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     smallest = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    ids = named.join(smallest, "component").select("node", "component_id", "component")
-    return sketches.select("doc_id", "row", "n_shingles", "node").join(ids, "node", "left").select(
+    ids = met(named, smallest, "component").select("node", "component_id", "component")
+    return met(sketches.select("doc_id", "row", "n_shingles", "node"), ids, "node", "left").select(
         "doc_id", "row", "n_shingles", "component",
         F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
@@ -389,8 +469,8 @@ def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: s
         F.col("row").alias("keep_row"), F.col("doc_id").alias("keep_id"), F.lit(False).alias("ties")).distinct()
     keep = staged(chosen.unionByName(empty), "near-kept")
     row = fresh(docs, "row")
-    held = docs.withColumn(row, row_hash(docs)).join(
-        keep, (column(row) == F.col("keep_row")) & column(id_col).eqNullSafe(F.col("keep_id")))
+    held = met(
+        docs.withColumn(row, row_hash(docs)), keep, (column(row) == F.col("keep_row")) & column(id_col).eqNullSafe(F.col("keep_id")))
     names = [column(c) for c in docs.columns]
     # Only kept rows of groups are looked at for equal rows.
     once = held.where("ties").dropDuplicates([row, "keep_id"])
