@@ -1,8 +1,9 @@
 """Histories of customers built from what the orders table says on successive days.
 
-A snapshot holds the customers who ordered within the year before its day, with
-the state of their latest order.  Between snapshots customers therefore appear,
-change, stay, fall away and come back, all by their own data.
+A snapshot takes all orders up to its day and holds each customer with the state of the
+latest one, unless that is pending.  Between snapshots customers therefore appear,
+change, stay, fall away and come back, all by their own data.  The last day is behind
+the last order.
 """
 
 from __future__ import annotations
@@ -16,9 +17,7 @@ from stratalake.sinks.versioned import VersionedTable
 from stratalake.workload import query
 from stratalake.workload.common import iso_dates, table
 
-DAYS = ["1998-06-30", "1998-12-31", "1999-09-30"]
-# Days of the snapshots that take all orders; none is later than the last day.
-WHOLE_DAYS = ["1998-06-30", "1999-09-30", "2001-12-31"]
+DAYS = ["1998-06-30", "1999-09-30", "2001-12-31"]
 KEY, BUSINESS = "o_custkey", ["status_of_order", "priority", "price"]
 OUTPUT = [
     "o_custkey", "status_of_order", "priority", "price", "source_run_id", "version_id",
@@ -27,41 +26,24 @@ OUTPUT = [
 
 
 def snapshot(spark: SparkSession, sf_dir: str, day: str, keys: list[str] | None = None) -> DataFrame:
-    """State of each active customer, or of each customer and priority, on a day.
+    """State of each customer, or of each customer and priority, by all orders up to a day.
 
-    ``max_by`` keeps one row per key and task before the shuffle, so a customer
+    A key falls away while its latest order is pending (status P) and comes back with the next
+    one that is not.  ``max_by`` keeps one row per key and task before the shuffle, so a customer
     with very many orders is not gathered in one place.
     """
     keys = keys or [KEY]
     end = F.lit(day).cast("date")
-    recent = table(spark, sf_dir, "orders").filter(
-        (F.col("o_orderdate") <= end) & (F.col("o_orderdate") > F.date_sub(end, 365))
-    )
+    known = table(spark, sf_dir, "orders").filter(F.col("o_orderdate").cast("date") <= end)
     rest = ["o_orderstatus", "o_orderpriority", "o_totalprice"]
     latest = F.max_by(F.struct(*rest), F.struct("o_orderdate", "o_orderkey"))
-    return recent.groupBy(*keys).agg(latest.alias("l")).select(
+    return known.groupBy(*keys).agg(latest.alias("l")).filter("l.o_orderstatus <> 'P'").select(
         *keys, F.col("l.o_orderstatus").alias("status_of_order"),
         *([F.col("l.o_orderpriority").alias("priority")] if "o_orderpriority" not in keys else []),
         F.col("l.o_totalprice").alias("price"), F.lit(day).alias("source_run_id"),
     )
 
 
-def whole_snapshot(spark: SparkSession, sf_dir: str, day: str) -> DataFrame:
-    """State of each customer by all orders up to the day.
-
-    Every order up to the day is read.  A customer falls away while the latest
-    order is pending (status P) and comes back with the next one that is not.
-    """
-    end = F.lit(day).cast("date")
-    rest = ["o_orderstatus", "o_orderpriority", "o_totalprice"]
-    latest = F.max_by(F.struct(*rest), F.struct("o_orderdate", "o_orderkey"))
-    known = table(spark, sf_dir, "orders").filter(F.col("o_orderdate") <= end)
-    return known.groupBy(KEY).agg(latest.alias("l")).filter("l.o_orderstatus <> 'P'").select(
-        KEY, F.col("l.o_orderstatus").alias("status_of_order"), F.col("l.o_orderpriority").alias("priority"),
-        F.col("l.o_totalprice").alias("price"), F.lit(day).alias("source_run_id"),
-    )
-
-
 def run_id(number: int) -> str:
     return f"run{number}"
 
@@ -82,16 +64,6 @@ def versions(spark: SparkSession, sf_dir: str, runs: list[int]) -> DataFrame:
     return done
 
 
-def whole_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table after a run for each of ``WHOLE_DAYS``."""
-    done: DataFrame | None = None
-    for number, day in enumerate(WHOLE_DAYS, 1):
-        done = staged(v.scd2_apply(
-            done, whole_snapshot(spark, sf_dir, day), KEY, BUSINESS, day, run_id(number)
-        ), "versions")
-    return done
-
-
 def snapshots_sql(keys: str = "o_custkey", priority: str = "o_orderpriority AS priority,") -> str:
     """CTEs ``runs`` and ``s``: the snapshots with their hashes, by run number."""
     hashed = ["coalesce(status_of_order, '')"]
@@ -104,9 +76,9 @@ runs AS (SELECT * FROM (VALUES {days}) AS t(run, day)),
 latest AS (
   SELECT run, day, {keys}, o_orderstatus AS status_of_order, {priority} o_totalprice AS price
   FROM orders, runs
-  WHERE CAST(o_orderdate AS DATE) <= day AND CAST(o_orderdate AS DATE) > day - 365
+  WHERE CAST(o_orderdate AS DATE) <= day
   QUALIFY row_number() OVER (PARTITION BY run, {keys} ORDER BY o_orderdate DESC, o_orderkey DESC) = 1),
-s AS (SELECT *, md5(concat_ws('|', {', '.join(hashed)})) AS h FROM latest)
+s AS (SELECT *, md5(concat_ws('|', {', '.join(hashed)})) AS h FROM latest WHERE status_of_order <> 'P')
 """
 
 
@@ -242,16 +214,16 @@ def scd2_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("scd2_as_of", f"""WITH {history_sql(3)}
-SELECT * FROM hist WHERE active_from <= '1998-12-31' AND '1998-12-31' < active_to""")
+SELECT * FROM hist WHERE active_from <= '{DAYS[1]}' AND '{DAYS[1]}' < active_to""")
 def scd2_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return iso_dates(v.as_of(versions(spark, sf_dir, [1, 2, 3]), "1998-12-31").select(*OUTPUT))
+    return iso_dates(v.as_of(versions(spark, sf_dir, [1, 2, 3]), DAYS[1]).select(*OUTPUT))
 
 
 @query("scd2_as_of_closed", f"""WITH {history_sql(3)}
-SELECT * FROM hist WHERE '1998-12-31' BETWEEN active_from AND active_to""")
+SELECT * FROM hist WHERE '{DAYS[1]}' BETWEEN active_from AND active_to""")
 def scd2_as_of_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = versions(spark, sf_dir, [1, 2, 3])
-    return iso_dates(v.as_of(done, "1998-12-31", "closed").select(*OUTPUT))
+    return iso_dates(v.as_of(done, DAYS[1], "closed").select(*OUTPUT))
 
 
 @query("scd2_history", f"""WITH {history_sql(3)}
@@ -269,17 +241,17 @@ def scd2_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("scd2_changes", f"""WITH {history_sql(3)}
-SELECT * FROM hist WHERE run_date = '1998-12-31'
-  AND (active_from = '1998-12-31' OR (active_to = '1998-12-31' AND active_to < '9999-12-31'))""")
+SELECT * FROM hist WHERE run_date = '{DAYS[1]}'
+  AND (active_from = '{DAYS[1]}' OR (active_to = '{DAYS[1]}' AND active_to < '9999-12-31'))""")
 def scd2_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return iso_dates(v.changes_on(versions(spark, sf_dir, [1, 2, 3]), "1998-12-31").select(*OUTPUT))
+    return iso_dates(v.changes_on(versions(spark, sf_dir, [1, 2, 3]), DAYS[1]).select(*OUTPUT))
 
 
 @query("scd2_discontinued", f"""WITH {history_sql(3)}
 SELECT o_custkey, active_to AS discontinued_date FROM hist
-WHERE active_to >= strftime(DATE '1999-10-15' - 30, '%Y-%m-%d') AND active_to < '9999-12-31' AND status = 'historical'""")
+WHERE active_to >= strftime(DATE '2002-01-15' - 30, '%Y-%m-%d') AND active_to < '9999-12-31' AND status = 'historical'""")
 def scd2_discontinued(spark: SparkSession, sf_dir: str) -> DataFrame:
-    closed = v.discontinued(versions(spark, sf_dir, [1, 2, 3]), "1999-10-15", 30)
+    closed = v.discontinued(versions(spark, sf_dir, [1, 2, 3]), "2002-01-15", 30)
     return iso_dates(closed.select(KEY, F.col("active_to").alias("discontinued_date")))
 
 
@@ -295,10 +267,10 @@ def scd2_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("scd2_evolve", f"""WITH {snapshots_sql()},
 a AS (SELECT * FROM s WHERE run = 1),
 e AS (SELECT *, CASE WHEN status_of_order = 'F' THEN 'late' END AS note FROM a)
-SELECT a.o_custkey, CAST(NULL AS VARCHAR) AS note, 'historical' AS status, '1998-06-30' AS active_from, '1998-12-31' AS active_to
+SELECT a.o_custkey, CAST(NULL AS VARCHAR) AS note, 'historical' AS status, '{DAYS[0]}' AS active_from, '{DAYS[1]}' AS active_to
 FROM a WHERE status_of_order = 'F'
 UNION ALL
-SELECT o_custkey, note, 'current', CASE WHEN note IS NULL THEN '1998-06-30' ELSE '1998-12-31' END, '9999-12-31' FROM e""")
+SELECT o_custkey, note, 'current', CASE WHEN note IS NULL THEN '{DAYS[0]}' ELSE '{DAYS[1]}' END, '9999-12-31' FROM e""")
 def scd2_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A column is added; only rows that have a value in it change."""
     first = versions(spark, sf_dir, [1])
@@ -396,43 +368,21 @@ def scd2_hash_list_shrinks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hashed_lists(spark, sf_dir, [BUSINESS, BUSINESS[:2], BUSINESS[:2]])
 
 
-_WHOLE_DAYS = ", ".join(f"({i}, DATE '{d}')" for i, d in enumerate(WHOLE_DAYS, 1))
-WHOLE_SQL = f"""WITH runs AS (SELECT * FROM (VALUES {_WHOLE_DAYS}) AS t(run, day)),
-latest AS (
-  SELECT run, day, o_custkey, o_orderstatus AS status_of_order, o_orderpriority AS priority, o_totalprice AS price
-  FROM orders, runs WHERE CAST(o_orderdate AS DATE) <= day
-  QUALIFY row_number() OVER (PARTITION BY run, o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1),
-s AS (SELECT *, md5(concat_ws('|', coalesce(status_of_order, ''), coalesce(priority, ''),
-    CAST(CAST(price AS DECIMAL(38,6)) AS VARCHAR))) AS h FROM latest WHERE status_of_order <> 'P'),
-opened AS (
-  SELECT s.*, CASE WHEN s.run < 2 AND x2.run IS NULL THEN 2 WHEN s.run < 3 AND x3.run IS NULL THEN 3 END AS close_run,
-    md5(CAST(s.o_custkey AS VARCHAR) || '|' || strftime(s.day, '%Y-%m-%d') || '|' || s.h || '|run' || s.run) AS vid
-  FROM s LEFT JOIN s p ON p.run = s.run - 1 AND p.o_custkey = s.o_custkey AND p.h = s.h
-  LEFT JOIN s x2 ON x2.run = 2 AND x2.h = s.h AND x2.o_custkey = s.o_custkey
-  LEFT JOIN s x3 ON x3.run = 3 AND x3.h = s.h AND x3.o_custkey = s.o_custkey
-  WHERE p.run IS NULL)
-SELECT o.o_custkey, o.status_of_order, o.priority, o.price, strftime(o.day, '%Y-%m-%d') AS source_run_id,
-  substr(vid, 1, 8) || '-' || substr(vid, 9, 4) || '-' || substr(vid, 13, 4) || '-' || substr(vid, 17, 4)
-    || '-' || substr(vid, 21, 12) AS version_id,
-  o.h AS content_hash, strftime(o.day, '%Y-%m-%d') AS active_from,
-  coalesce(strftime(c.day, '%Y-%m-%d'), '9999-12-31') AS active_to,
-  CASE WHEN c.day IS NULL THEN 'current' ELSE 'historical' END AS status,
-  strftime(coalesce(c.day, o.day), '%Y-%m-%d') AS run_date, 'run' || coalesce(c.run, o.run) AS run_id
-FROM opened o LEFT JOIN runs c ON c.run = o.close_run"""
+WHOLE_SQL = f"WITH {history_sql(3)} SELECT * FROM hist"
 
 
 @query("scd2_whole", WHOLE_SQL)
 def scd2_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Versions by snapshots that take all orders up to their day."""
-    return iso_dates(whole_versions(spark, sf_dir).select(*OUTPUT))
+    return iso_dates(versions(spark, sf_dir, [1, 2, 3]).select(*OUTPUT))
 
 
 def whole_stored(spark: SparkSession, sf_dir: str, buckets: int | None = None) -> DataFrame:
     path = scratch_path(spark, "versions")
     name = "versions_" + path.rsplit("-", 1)[1] if buckets else None
     stored = VersionedTable(spark, path, KEY, BUSINESS, buckets, name)
-    for number, day in enumerate(WHOLE_DAYS, 1):
-        stored.apply(whole_snapshot(spark, sf_dir, day), day, run_id(number))
+    for number, day in enumerate(DAYS, 1):
+        stored.apply(snapshot(spark, sf_dir, day), day, run_id(number))
     return stored.read()
 
 

@@ -8,13 +8,13 @@ from stratalake.workload.common import table
 
 def test_last_snapshot_takes_all_orders(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
-    last = versions.WHOLE_DAYS[-1]
+    last = versions.DAYS[-1]
     assert orders.where(F.col("o_orderdate") > F.lit(last).cast("date")).count() == 0
     newest = {}
     for r in orders.collect():
         newest[r.o_custkey] = max(newest.get(r.o_custkey, (r.o_orderdate, -1, None)),
                                   (r.o_orderdate, r.o_orderkey, r.o_orderstatus))
-    found = versions.whole_snapshot(spark, sf_dir, last).collect()
+    found = versions.snapshot(spark, sf_dir, last).collect()
     assert {r.o_custkey for r in found} == {k for k, x in newest.items() if x[2] != "P"}
 
 
@@ -24,6 +24,6 @@ def test_old_orders_keep_a_customer(spark, tmp_path):
     spark.createDataFrame(rows, "o_orderkey int, o_custkey int, day string, o_orderstatus string, "
                                 "o_orderpriority string, o_totalprice double").selectExpr(
         "*", "CAST(day AS timestamp) AS o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
-    kept = [[r.o_custkey for r in versions.whole_snapshot(spark, str(tmp_path), d).orderBy("o_custkey").collect()]
-            for d in versions.WHOLE_DAYS]
+    kept = [[r.o_custkey for r in versions.snapshot(spark, str(tmp_path), d).orderBy("o_custkey").collect()]
+            for d in versions.DAYS]
     assert kept == [[7, 8], [7, 8], [7]]
