@@ -17,7 +17,8 @@ def drug_codesets(
     """Package codes, mappings and products side by side; either side may be missing.
 
     ``codes`` has plain column names, ``products`` the source prefix.  Codes meet
-    products through their mapping; a product without any code keeps a row.
+    products through their mapping; a product without any code keeps a row.  All codeset columns
+    come out, those that no source has as NULL, so readers meet one schema whatever has arrived.
     """
     left = columns.add_prefix(codes, "fda_").withColumnRenamed("fda_ndc_11", "_code")
     bridge = mappings.select(
@@ -30,7 +31,10 @@ def drug_codesets(
         mapped, right, ["_product"], "full_outer", rows_per_task
     ).withColumnRenamed("_code", "fda_ndc_11")
     present = set(joined.columns)
-    wanted = [c for c in ds.CODESET_FDA + ds.CODESET_RXNORM if c in present]
+    wanted = [
+        F.col(c) if c in present else F.lit(None).cast(ds.CODESET_TYPES.get(c, "string")).alias(c)
+        for c in ds.CODESET_FDA + ds.CODESET_RXNORM
+    ]
     return joined.select(*wanted, F.lit(run_id).alias("meta_run_id"))
 
 

@@ -43,12 +43,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """The frame written to the shared folder and read back.
+def staged(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
+    """The frame written to the shared folder and read back, in a folder for each value of a column if asked.
 
     Cuts the lineage for a result that several steps start from, and survives the
     loss of any executor.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

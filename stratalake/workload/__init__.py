@@ -27,5 +27,5 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 def load_all() -> None:
     """Import every module that registers queries."""
     from stratalake.workload import (  # noqa: F401
-        checks, comparisons, concepts, fda, ingest, rejects, reports, serving, shaping, store, versions,
+        checks, comparisons, concepts, fda, ingest, keys, rejects, reports, serving, shaping, store, versions,
     )

@@ -10,6 +10,7 @@ from stratalake.functions.text import STOP_WORDS, tokens
 from stratalake.operators import items, search
 from stratalake.operators import versioning as v
 from stratalake.plans import concepts as plan
+from stratalake.plans import datasets as ds
 from stratalake.plans import serving
 from stratalake.session import scratch_path, staged
 from stratalake.sinks import items as item_sink
@@ -228,6 +229,10 @@ def idempotent_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return items.not_yet_applied(batch(customers), batch(before)).select("PK")
 
 
+_GIVEN = ["fda_ndc_11", "fda_proprietary_name", "rxnorm_rxcui", "rxnorm_tty", "rxnorm_str"]
+_CODESET_COLUMNS = ", ".join(ds.CODESET_FDA + ds.CODESET_RXNORM)
+_ABSENT = ", ".join(
+    f"CAST(NULL AS {ds.CODESET_TYPES.get(c, 'varchar')}) AS {c}" for c in ds.CODESET_FDA + ds.CODESET_RXNORM if c not in _GIVEN)
 CODESETS_SQL = f"""{concepts.NAMED_SQL},
 gold AS (SELECT lpad(CAST(l_partkey AS VARCHAR), 5, '0') || lpad(CAST(l_suppkey AS VARCHAR), 4, '0')
       || CASE l_returnflag WHEN 'R' THEN '02' WHEN 'N' THEN '03' ELSE '01' END AS ndc_11, max(l_linestatus) AS proprietary_name
@@ -235,7 +240,7 @@ gold AS (SELECT lpad(CAST(l_partkey AS VARCHAR), 5, '0') || lpad(CAST(l_suppkey
 prods AS (SELECT id AS rxcui, tty, name AS str FROM base WHERE tty = 'SCD'),
 bridge AS (SELECT DISTINCT ndc_11, rxcui FROM named),
 codesets AS (SELECT g.ndc_11 AS fda_ndc_11, g.proprietary_name AS fda_proprietary_name,
-    p.rxcui AS rxnorm_rxcui, p.tty AS rxnorm_tty, p.str AS rxnorm_str, 'run1' AS meta_run_id
+    p.rxcui AS rxnorm_rxcui, p.tty AS rxnorm_tty, p.str AS rxnorm_str, 'run1' AS meta_run_id, {_ABSENT}
   FROM (SELECT g.*, b.rxcui FROM gold g LEFT JOIN bridge b ON g.ndc_11 = b.ndc_11) g FULL JOIN prods p ON g.rxcui = p.rxcui)
 """
 
@@ -276,8 +281,8 @@ def codeset_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("codeset_records", f"""WITH {CODESETS_SQL}
-SELECT 'DRUG#' || coalesce(fda_ndc_11, rxnorm_rxcui) AS "PK", 'METADATA#latest' AS "SK", fda_ndc_11, fda_proprietary_name,
-  rxnorm_rxcui, rxnorm_tty, rxnorm_str, meta_run_id, '2050-01-01' AS meta_sync_timestamp
+SELECT 'DRUG#' || coalesce(fda_ndc_11, rxnorm_rxcui) AS "PK", 'METADATA#latest' AS "SK", {_CODESET_COLUMNS},
+  meta_run_id, '2050-01-01' AS meta_sync_timestamp
 FROM codesets WHERE coalesce(fda_ndc_11, rxnorm_rxcui) IS NOT NULL""")
 def codeset_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.codeset_records(codesets(spark, sf_dir), F.lit("2050-01-01"))
@@ -308,8 +313,6 @@ SELECT rxnorm_rxcui AS rxcui, rxnorm_tty AS tty, rxnorm_ingredient_names AS ingr
 FROM wide""")
 def product_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wide products versioned for the first time."""
-    from stratalake.plans import datasets as ds
-
     rows = plan.product_snapshot(concepts.products(spark, sf_dir), "rxnorm_products")
     done = v.scd2_apply(None, rows, ds.PRODUCTS_KEY, ds.PRODUCTS_BUSINESS, "2050-01-01", "run1")
     return iso_dates(done.select(
