@@ -1,17 +1,17 @@
 """Toxicity: a linear classifier over character n-grams, scaled by naive Bayes.
 
 A text's features are the hashed 5- and 7-grams of its bytes, A-Z lowered, each
-present or not.  Toxic texts count twice in training, as there are few.  Every feature is scaled by the log-count ratio of naive Bayes,
-log((1 + toxic texts with it) / toxic texts) against the same of other texts, the
+present or not.  Toxic texts count twice in training, as there are few.  Every
+feature is scaled by the log-count ratio of naive Bayes, log((1 + toxic texts with it) / toxic texts) against the same of other texts, the
 vector gets unit length, and logistic regression with a quadratic penalty is
 trained on it by gradient steps.
 
 Labels are used up to ``max_labels`` documents, those with the smallest hash of
 their id among labels that have a document, so the sample is the same at any
 parallelism and its ids may be handed to every task.  Features are made where the
-texts are; the one task that trains holds only their numbers, 4 bytes for each, at
-most 2^20 of a document.  Scoring is one pass over the whole texts
-with no shuffle: a task holds the weights, 16 bytes for each of 2^20 features.
+texts are; the one task that trains holds only their numbers and values, 8 bytes for
+each, of ``max_numbers`` features in all.  Scoring is one pass over the whole texts
+with no shuffle: a task holds the weights, 8 bytes for each of 2^20 features.
 
 A NULL or empty text has no features and gets the score of the intercept.  A
 document with several labels counts as toxic if one says so; labels without id
@@ -27,11 +27,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratalake.llm.common import append_by_batch, column, fresh, utf8
+from stratalake.llm.common import append_by_batch, column, fresh, smaller, utf8
 
 BITS = 20
 ORDERS = (5, 7)
+# Bounds of the sample that the model is learnt from: documents, and their feature numbers of eight bytes.
 MAX_LABELS = 6_000
+MAX_NUMBERS = 1 << 26
+# Feature numbers that a step of the training takes at once.
+CHUNK = 1 << 22
 PENALTY = 1e-5
 STEPS = 100
 THRESHOLD = 0.3
@@ -75,24 +79,41 @@ def train(rows: list[np.ndarray], labels: list[int], penalty: float = PENALTY, s
         weights = np.zeros(size + 1)
         weights[-1] = np.log((share + 1e-9) / (1 - share + 1e-9))
         return weights
-    columns = np.concatenate(rows)
-    owner = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
-    one = np.bincount(columns, y[owner], size)
-    zero = np.bincount(columns, minlength=size) - one
+    one, every = np.zeros(size), np.zeros(size)
+    for row, label in zip(rows, y):
+        every[row] += 1
+        one[row] += label
+    zero = every - one
     ratio = np.log((1 + one) / (1 + y.sum())) - np.log((1 + zero) / (1 + (1 - y).sum()))
     ratio[np.abs(ratio) < LEAST_RATIO] = 0
-    telling = ratio[columns] != 0
-    columns, owner = columns[telling], owner[telling]
-    values = ratio[columns]
-    norms = np.sqrt(np.bincount(owner, values ** 2, len(y)))
-    values = values / np.maximum(norms, 1e-9)[owner]
+    # Only telling features are kept, four bytes for each and four for its value; ``rows`` is emptied on the way.
+    parts, values = [], []
+    for at, row in enumerate(rows):
+        told = row[ratio[row] != 0]
+        value = ratio[told]
+        parts.append(told)
+        values.append((value / max(float(np.sqrt(value @ value)), 1e-9)).astype(np.float32))
+        rows[at] = None
+    # Documents in chunks of so many feature numbers, so what a step computes stays small.
+    sizes = np.array([len(part) for part in parts])
+    ends = np.searchsorted(np.cumsum(sizes), np.arange(CHUNK, sizes.sum() + CHUNK, CHUNK), side="left") + 1
+    ends = np.unique(np.minimum(np.append(ends, len(parts)), len(parts)))
+    chunks = []
+    for start, end in zip(np.concatenate([[0], ends[:-1]]).tolist(), ends.tolist()):
+        chunks.append((slice(start, end), sizes[start:end], np.concatenate(parts[start:end]), np.concatenate(values[start:end])))
+        parts[start:end] = values[start:end] = [None] * (end - start)
     # Adam over all rows: features differ in scale by orders of magnitude.
     weights, bias = np.zeros(size), float(np.log(y.mean() / (1 - y.mean())))
     first, second, low, high = np.zeros(size), np.zeros(size), 0.0, 0.0
+    score = np.zeros(len(y))
     for step in range(1, steps + 1):
-        score = np.bincount(owner, weights[columns] * values, len(y)) + bias
-        error = (1 / (1 + np.exp(-np.clip(score, -40, 40))) - y) * (1 + y) / len(y)
-        slope = np.bincount(columns, error[owner] * values, size) + penalty * weights
+        for rows_of, counts, columns, value in chunks:
+            owner = np.repeat(np.arange(len(counts)), counts)
+            score[rows_of] = np.bincount(owner, weights[columns] * value, len(counts))
+        error = (1 / (1 + np.exp(-np.clip(score + bias, -40, 40))) - y) * (1 + y) / len(y)
+        slope = penalty * weights
+        for rows_of, counts, columns, value in chunks:
+            slope += np.bincount(columns, np.repeat(error[rows_of], counts) * value, size)
         first, second = 0.9 * first + 0.1 * slope, 0.99 * second + 0.01 * slope ** 2
         low, high = 0.9 * low + 0.1 * error.sum(), 0.99 * high + 0.01 * error.sum() ** 2
         rate = 0.1 * np.sqrt(1 - 0.99 ** step) / (1 - 0.9 ** step)
@@ -112,8 +133,12 @@ def probability(text: bytes, model: np.ndarray) -> float:
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "toxic", max_labels: int = MAX_LABELS) -> np.ndarray:
-    """Model from the labelled documents; training runs in one task on the bounded sample."""
+        label_col: str = "toxic", max_labels: int = MAX_LABELS, max_numbers: int = MAX_NUMBERS) -> np.ndarray:
+    """Model from labelled documents; training runs in one task on the bounded sample.
+
+    The sample takes documents in the order of a hash of their ids, up to ``max_labels``, and as many
+    of them as have up to ``max_numbers`` features together, the first one in any case.
+    """
     plain = docs.select(column(id_col).alias("id"), column(text_col).cast("string").alias("text"))
     known = (
         labels.select(column(id_col).alias("id"), column(label_col).cast("int").alias("y"))
@@ -129,17 +154,23 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
         once, "features", T.BinaryType(), lambda batch: [ngram_ids(t).tobytes() for t in utf8(batch, "text")])
 
     def learn(batches):
-        rows, ys = [], []
-        for batch in batches:
-            rows += utf8(batch, "features")
-            ys += batch.column(batch.schema.get_field_index("y")).to_pylist()
-        order = sorted(range(len(rows)), key=lambda i: (rows[i], ys[i]))
-        model = train([np.frombuffer(rows[i], np.int32) for i in order], [ys[i] for i in order])
+        rows, ys, held = [], [], 0
+        for batch in smaller(batches, 100):
+            for features, label in zip(utf8(batch, "features"), batch.column(batch.schema.get_field_index("y")).to_pylist()):
+                held += len(features) // 4
+                if held > max_numbers and rows:
+                    break
+                rows.append(np.frombuffer(features, np.int32))
+                ys.append(label)
+            if held > max_numbers:
+                break
+        model = train(rows, ys).astype(np.float32)
         yield pa.RecordBatch.from_arrays([pa.array([model.tobytes()], pa.binary())], names=["model"])
 
     # An exchange, not coalesce, so that features are not made in the task that trains.
-    made = featured.select("y", "features").repartition(1).mapInArrow(learn, "model binary").first()
-    return np.frombuffer(made["model"]) if made else train([], [])
+    dealt = featured.select("y", "features", F.xxhash64("id").alias("h"), "id").repartition(1).sortWithinPartitions("h", "id")
+    made = dealt.select("y", "features").mapInArrow(learn, "model binary").first()
+    return np.frombuffer(made["model"], np.float32) if made else train([], [])
 
 
 def score(docs: DataFrame, model: np.ndarray, name: str = "score", text_col: str = "text") -> DataFrame:
