@@ -32,9 +32,16 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def _has_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_has_map(f.dataType) for f in kind)
+    return _has_map(kind.elementType) if isinstance(kind, T.ArrayType) else isinstance(kind, (T.MapType, T.VariantType))
+
+
 def row_hash(df: DataFrame, seed: int = 0) -> Column:
-    """64-bit hash over all columns of a row."""
-    return F.xxhash64(F.lit(seed), *[column(c) for c in df.columns])
+    """64-bit hash over all columns of a row; those that hold maps, which Spark does not hash, by their text."""
+    return F.xxhash64(F.lit(seed), *[
+        column(f.name).cast("string") if _has_map(f.dataType) else column(f.name) for f in df.schema])
 
 
 def utf8(batch: pa.RecordBatch, name: str) -> list[bytes]:

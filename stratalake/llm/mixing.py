@@ -5,15 +5,15 @@ turn and share a budget of 150 % of all words; a target stops at twice the size
 of its source, and what is over goes to the others by weight (found in one sweep
 over the sources ordered by the share at which each is full).
 
-The mix is a sequence of slots of ``BLOCK`` words.  Slot k stands at the van der
-Corput point of k, its binary digits mirrored; the point, mapped through the
-cumulative targets, names the source.  The slots of a source are ranked, and
-the r-th takes the r-th block of the source's documents, which are put into
-seeded random order, repeated, and cut into blocks of equal words.  The sequence
-of points is even, but not exact, so slots beyond a source's target are dropped
-and missing ones follow at the end; the last block of a source is cut at its
-target.  So every block up to the target has a slot: the schedule only orders the mix
-(``first_slot`` of ``mix_report``), and what is taken follows from the targets alone.
+The mix is a sequence of slots, a power of two of them, each a block of equal words.  Slot
+k stands at the van der Corput point of k, its binary digits mirrored; the point, mapped
+through the cumulative targets, names the source.  The slots of a source are ranked, and
+the r-th takes the r-th block of the source's documents, which are put into seeded random
+order, repeated, and cut into blocks.  The slots decide what is taken: a source has as
+many blocks as points fell to it, which is its share of them but for one, and its last
+block ends at its target.  A source so small that no point falls to it is not taken.  The
+blocks have ``BLOCK`` words at most, and fewer where the mix would not fill ``SLOTS`` of those, so
+that source is smaller than a millionth of the mix, or than ``BLOCK`` words.
 
 DataFrame functions only.  Running totals over a source's documents and over its
 slots are summed in two levels, within pieces of bounded size and over pieces, so
@@ -36,6 +36,7 @@ WEIGHTS = (5, 2, 1)
 BUDGET = (3, 2)
 MOST = 2
 BLOCK = 512
+SLOTS = 1 << 20
 # Documents of a source that are put in order by one task, about.
 PIECE_ROWS = 1 << 14
 SLOT_PIECE = 1 << 14
@@ -96,34 +97,28 @@ def van_der_corput(k: Column, digits: int) -> Column:
     return F.conv(mirrored, 2, 10).cast("double") / float(1 << digits)
 
 
-def schedule(sources: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(slot, rank, turn): which source, by rank, and which of its blocks fills each slot."""
-    session = sources.sparkSession
-    total = sources.agg(F.max("all_words").alias("n")).first()["n"] or 0
-    slots = -(-total // block)
-    digits = max(1, int(slots).bit_length())
+def block_words(all_words: int, most: int = BLOCK, slots: int = SLOTS) -> tuple[int, int]:
+    """(binary digits of a slot's number, words of a block) for a mix of so many words."""
+    wanted = max(1, min(most, all_words // slots))
+    digits = max(1, (-(-all_words // wanted) - 1).bit_length())
+    return digits, max(1, -(-all_words // (1 << digits)))
+
+
+def schedule(sources: DataFrame, digits: int) -> DataFrame:
+    """(slot, rank, turn): which source, by rank, and which of its blocks fills each of 2^digits slots."""
     cells = sources.where("words > 0").select(
         "rank", (F.col("low") / F.col("all_words")).alias("from"), (F.col("high") / F.col("all_words")).alias("to"))
     cells = cells.withColumn("cell", F.explode(F.sequence(
         F.floor(F.col("from") * CELLS), F.least(F.floor(F.col("to") * CELLS), F.lit(CELLS - 1)))))
-    points = session.range(slots).withColumnRenamed("id", "k").withColumn(
-        "x", van_der_corput(F.col("k"), digits)).withColumn("cell", F.floor(F.col("x") * CELLS))
+    points = sources.sparkSession.range(1 << digits).withColumnRenamed("id", "slot").withColumn(
+        "x", van_der_corput(F.col("slot"), digits)).withColumn("cell", F.floor(F.col("x") * CELLS))
     named = points.join(cells, "cell").where("x >= from and x < to").select(
-        "k", "rank", F.floor(F.col("k") / SLOT_PIECE).alias("piece"))
-    ranked = running_starts(named, "rank", "piece", ["k"], F.lit(1), "turn")
-    needed = sources.select("rank", F.ceil(F.col("words") / block).alias("needed"))
-    kept = ranked.join(needed, "rank").where("turn < needed").select("k", "rank", "turn")
-    have = named.groupBy("rank").agg(F.count(F.lit(1)).alias("have"))
-    missing = needed.join(have, "rank", "left").withColumn("have", F.coalesce("have", F.lit(0))).where(
-        "have < needed").select(
-        F.lit(None).cast("long").alias("k"), "rank",
-        F.explode(F.sequence(F.col("have"), F.col("needed") - 1)).alias("turn"))
-    return kept.withColumn("slot", F.col("k")).unionByName(
-        missing.withColumn("slot", F.lit(slots) + F.col("turn"))).select("slot", "rank", "turn")
+        "slot", "rank", F.floor(F.col("slot") / SLOT_PIECE).alias("piece"))
+    return running_starts(named, "rank", "piece", ["slot"], F.lit(1), "turn").select("slot", "rank", "turn")
 
 
 def mix_units(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
-              seed: int = 11, block: int = BLOCK) -> DataFrame:
+              seed: int = 11, block: int = BLOCK, slots: int = SLOTS) -> DataFrame:
     """A row per distinct row of ``docs``: id, row hash, copies, sizes, target, words taken, first slot.
 
     The rows are light; the text is read once, to count its words.
@@ -133,24 +128,34 @@ def mix_units(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "sou
     units = staged(light.groupBy("doc_id", "source", "size", "row").agg(F.count(F.lit(1)).alias("copies")), "mix-units")
     sources = staged(source_targets(
         units.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("source_size"))), "mix-sources")
+    digits, width = block_words(sources.agg(F.max("all_words")).first()[0] or 0, block, slots)
+    plan = staged(schedule(sources, digits), "mix-slots")
+    sources = sources.join(plan.groupBy("rank").agg(F.count(F.lit(1)).alias("have")), "rank", "left").withColumn(
+        "have", F.coalesce("have", F.lit(0)))
     count = units.count()
     pieces = max(1, -(-count // PIECE_ROWS))
     placed = units.withColumn("order", F.xxhash64(F.lit(seed), "doc_id", "row")).withColumn(
         "piece", F.floor((F.col("order") / 2.0 + float(1 << 62)) / float(1 << 63) * pieces))
     named = placed.alias("u").join(sources.alias("s"),
                                    F.col("u.source").eqNullSafe(F.col("s.source"))).select(
-        "u.*", "s.rank", "s.source_size", "s.target", "s.words")
+        "u.*", "s.rank", "s.source_size", "s.target", "s.words", "s.have")
     stream = running_starts(named, "rank", "piece", ["order", "doc_id", "row"],
                             F.col("size") * F.col("copies"), "start")
     length = F.col("size") * F.col("copies")
     passes = F.explode_outer(F.filter(
         F.transform(F.sequence(F.lit(0), F.lit(MOST - 1)), lambda e: F.col("start") + e * F.col("source_size")),
-        lambda at: (at < F.col("words")) & (length > 0)))
+        lambda at: (at < F.col("words")) & (length > 0) & (F.col("have") > 0)))
     rounds = stream.withColumn("at", passes).withColumn("end", F.least(F.col("at") + length, F.col("words")))
+    # What lies behind the last slot's block belongs to it, up to the target.
+    last = F.col("have") - 1
+
+    def turn_of(at: Column) -> Column:
+        return F.least(F.floor(at / width), last)
+
     parts = rounds.withColumn("turn", F.explode_outer(F.when(F.col("at").isNotNull(), F.sequence(
-        F.floor(F.col("at") / block), F.floor((F.col("end") - 1) / block)))))
-    inside = F.least(F.col("end"), (F.col("turn") + 1) * block) - F.greatest(F.col("at"), F.col("turn") * block)
-    plan = schedule(sources, block)
+        turn_of(F.col("at")), turn_of(F.col("end") - 1)))))
+    until = F.when(F.col("turn") == last, F.col("words")).otherwise((F.col("turn") + 1) * width)
+    inside = F.least(F.col("end"), until) - F.greatest(F.col("at"), F.col("turn") * width)
     joined = parts.join(plan, ["rank", "turn"], "left")
     keys = ["doc_id", "source", "size", "row", "copies", "source_size", "target"]
     return joined.groupBy(*keys).agg(
