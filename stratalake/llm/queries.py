@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stratalake.llm import (
     collocations, decontaminate, discriminant, exact_search, licenses, linear, mixing, near_duplicates,
-    quality_rules, shard, spelling, substrings, warc,
+    oracles, quality_rules, shard, spelling, substrings, warc,
 )
 from stratalake.llm.common import crc32, fold, table
 from stratalake.session import scratch_path, staged
@@ -96,7 +96,7 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     return mixing.mix_report(table(spark, sf_dir, "documents")).select(
-        "doc_id", "size", "source_size", "target", "taken")
+        "doc_id", "size", "source_size", "target", "taken", "first_slot")
 
 
 def op11_exact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,57 +122,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     op12_collocations, op13_spelling_variants)}
 
 ORACLES: dict[str, str] = {
-    "op11_exact_search": """
-WITH v AS (
-    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS parts
-    FROM embeddings
-    WHERE embedding IS NOT NULL
-      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-), met AS (
-    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.parts, c.parts) AS BIGINT) AS score
-    FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
-), ranked AS (
-    SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM met
-)
-SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
-""",
-    "op12_collocations": """
-WITH pieces AS (
-    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
-        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
-    FROM documents
-), listed AS (
-    SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS words FROM pieces
-), starts AS (
-    SELECT lang, words, unnest(range(1, len(words) + 1)) AS pos FROM listed
-), grams AS (
-    SELECT lang, k, array_to_string(words[pos:pos + k - 1], ' ') AS phrase
-    FROM starts, (VALUES (1), (2), (3), (4)) sizes(k) WHERE pos + k - 1 <= len(words)
-), totals AS (
-    SELECT lang, count(*) AS n FROM starts GROUP BY lang
-), counts AS (
-    SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 30
-), cuts AS (
-    SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS words, unnest(range(1, k)) AS cut FROM counts WHERE k > 1
-), scored AS (
-    SELECT c.lang, c.phrase, c.a, c.words, c.cut, x.f AS l, y.f AS r,
-           CAST((CAST(2000000 AS HUGEINT) * c.a) // (x.f + y.f) AS BIGINT) AS score
-    FROM cuts c
-    JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(c.words[1:c.cut], ' ')
-    JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(c.words[c.cut + 1:c.k], ' ')
-), weakest AS (
-    SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
-), longer AS (
-    SELECT l.lang, array_to_string(l.words[s:s + k2 - 1], ' ') AS phrase, max(l.a) AS f
-    FROM (SELECT lang, k, a, words FROM cuts WHERE cut = 1 AND k > 2) l,
-         (VALUES (2), (3)) sizes(k2), (VALUES (1), (2), (3)) places(s)
-    WHERE k2 < l.k AND s + k2 - 1 <= l.k GROUP BY ALL
-), ranked AS (
-    SELECT w.lang, row_number() OVER (PARTITION BY w.lang ORDER BY score DESC, a DESC, w.phrase) AS rank,
-           w.phrase, w.a, w.l, w.r, w.score
-    FROM weakest w LEFT JOIN longer g ON g.lang = w.lang AND g.phrase = w.phrase
-    WHERE g.f IS NULL OR 100 * g.f < 80 * w.a
-)
-SELECT ranked.lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals ON totals.lang = ranked.lang WHERE rank <= 2000
-""",
+    "op1_suffix_array_dedup": oracles.REPEATS,
+    "op3_decontamination": oracles.CONTAMINATION,
+    "op7_warc": oracles.ARCHIVED,
+    "op8_near_dedup": oracles.NEAR_DUPLICATES,
+    "op11_exact_search": oracles.EXACT_SEARCH,
+    "op12_collocations": oracles.COLLOCATIONS,
 }

@@ -8,9 +8,8 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from stratalake.llm import collocations, exact_search, queries, spelling
+from stratalake.llm import collocations, exact_search, spelling
 from pyspark.sql import functions as F
-from tests.oracle import compare, connect
 
 
 # Exact search
@@ -251,15 +250,3 @@ def test_index_finds_every_edit():
         assert found == want
 
 
-# Registered queries
-
-@pytest.mark.parametrize("name", ["op11_exact_search", "op12_collocations"])
-def test_queries_equal_their_sql(spark, sf_dir, name):
-    _, problem = compare(queries.QUERIES[name](spark, sf_dir), connect(sf_dir), queries.ORACLES[name])
-    assert problem is None
-
-
-def test_spelling_query_equals_brute_force(spark, sf_dir):
-    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
-    found = queries.op13_spelling_variants(spark, sf_dir).select("word", "n", "n_near", "form", "form_n", "root")
-    assert Counter(tuple(r) for r in found.collect()) == brute_spelling(rows)
