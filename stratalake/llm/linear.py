@@ -2,9 +2,9 @@
 
 A text's features are the hashed 5- and 7-grams of its bytes, A-Z lowered, each
 present or not.  Toxic texts count twice in training, as there are few.  Every
-feature is scaled by the log-count ratio of naive Bayes, log((1 + toxic texts with it) / toxic texts) against the same of other texts, the
-vector gets unit length, and logistic regression with a quadratic penalty is
-trained on it by gradient steps.
+feature is scaled by the log-count ratio of naive Bayes, log((1 + toxic texts with
+it) / toxic texts) against the same of other texts, the vector gets unit length, and
+logistic regression with a quadratic penalty is trained on it by gradient steps.
 
 Labels are used up to ``max_labels`` documents, those with the smallest hash of
 their id among labels that have a document, so the sample is the same at any

@@ -297,7 +297,8 @@ def near_words(words: DataFrame, count: int) -> DataFrame:
         return pa.table({"word": pa.array(out["word"], pa.string()), "near": pa.array(out["near"], pa.string()),
                          "near_n": pa.array(out["near_n"], pa.int64())})
 
-    return placed.groupBy("front", "shard").applyInArrow(search, schema)
+    # Few bytes, much work: a number of tasks of their own, which are not merged by size.
+    return placed.repartition(shards, "front", "shard").groupBy("front", "shard").applyInArrow(search, schema)
 
 
 def spelling_variants(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
