@@ -11,7 +11,7 @@ from stratalake.plans import datasets as ds
 from stratalake.sinks import tables
 from stratalake.sinks.versioned import VersionedTable
 from stratalake.sources import documents, files
-from stratalake.streaming.snapshots import version_stream
+from stratalake.streaming.snapshots import version_last, version_stream
 from tests.conftest import rows
 
 
@@ -158,15 +158,27 @@ def test_monthly_flow(spark, tmp_path):
 
 
 def test_stream_of_snapshots(spark, tmp_path):
-    schema = "k string, v string"
-    source = str(tmp_path / "in")
+    schema = "k string, v string, day string"
+    source, landing = str(tmp_path / "in"), str(tmp_path / "landing")
     table = VersionedTable(spark, str(tmp_path / "t"), "k", ["v"])
-    for number, data in enumerate([[("a", "1"), ("b", "1")], [("a", "2")], [("a", "2")]]):
-        spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(source)
+
+    def arrive(*data):
+        spark.createDataFrame(list(data), schema).coalesce(1).write.mode("append").parquet(source)
         stream = spark.readStream.schema(schema).parquet(source)
-        query = version_stream(stream, table, f"2050-01-0{number + 1}").option(
-            "checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
-        query.awaitTermination()
+        version_stream(stream, table, "day", landing).option(
+            "checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+
+    # A snapshot in two batches, and a batch with parts of two snapshots.
+    arrive(("a", "1", "2050-01-01"))
+    assert table.commits().count() == 0
+    arrive(("b", "1", "2050-01-01"), ("a", "2", "2050-01-02"))
+    assert table.commits().count() == 1
+    arrive(("a", "2", "2050-01-03"))
     assert table.commits().count() == 2
-    assert rows(table.read().select("k", "v", "status")) == [
-        ("a", "1", "historical"), ("a", "2", "current"), ("b", "1", "historical")]
+    version_last(spark, table, "day", landing, spark.createDataFrame([], schema).schema)
+    assert rows(table.read().select("k", "v", "status", "active_from")) == [
+        ("a", "1", "historical", datetime.date(2050, 1, 1)), ("a", "2", "current", datetime.date(2050, 1, 2)),
+        ("b", "1", "historical", datetime.date(2050, 1, 1))]
+    arrive(("a", "3", "2050-01-04"))
+    with pytest.raises(Exception, match="versioned"):
+        arrive(("z", "1", "2050-01-02"))
