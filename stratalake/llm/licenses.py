@@ -12,9 +12,10 @@ template's last words: "version 1.1" is not cut to "version".
 A window reaches t only with ratio times the template's bigrams in common, so it is
 looked for only where so many places of the text, near enough, have a bigram of the
 template; the best window is one that starts at such a place.  From each of them
-one pass gives the best end.  For templates of more than ``LONG`` places only every
-hundredth part of a template is such a start; where that comes near t without
-reaching it, by no more than a start in between can add, those in between follow.
+one pass gives the best end.  For templates of more than ``LONG`` places, every
+hundredth part of a template is such a start at first.  A start in between can be better
+than the next of these by a known amount only.  So those before each that comes as near
+t follow, unless a window over them is already better than they can be.
 
 Windows of one template do not overlap; the best coefficient goes first.  Where those
 of several templates overlap, the one with most bigrams in common stays, so a full
@@ -124,11 +125,17 @@ class Template:
         return F.filter(starts, lambda x: x["nr"] % self.step == 0)
 
     def between(self, starts: str, windows: str) -> Column:
-        """Starts before those whose window is just below the threshold."""
-        below = F.filter(windows, lambda w: (w["minus"] > -self.least) & (
-            w["minus"] <= -self.least + self.slack + 1e-9))
-        return F.filter(starts, lambda x: F.exists(
-            below, lambda w: (x["nr"] < w["nr"]) & (x["nr"] > w["nr"] - self.step)))
+        """Starts before those whose window is over the threshold, or below it by no more than they can add.
+
+        Not if an earlier window reaches over them and is better than theirs can be.  Those behind
+        the last of the first starts follow, too.
+        """
+        near = F.filter(windows, lambda w: (w["minus"] <= -self.least + self.slack + 1e-9) & ~F.exists(
+            windows, lambda u: (u["nr"] <= w["nr"] - self.step) & (u["end"] >= w["start"])
+            & (u["minus"] < w["minus"] - self.slack - 1e-9)))
+        last = F.coalesce(F.array_max(F.transform(windows, lambda w: w["nr"])), F.lit(-1))
+        return F.filter(starts, lambda x: (x["nr"] % self.step != 0) & ((x["nr"] > last) | F.exists(
+            near, lambda w: (x["nr"] < w["nr"]) & (x["nr"] > w["nr"] - self.step))))
 
     def notices(self, windows: str) -> Column:
         """Those of the windows over the threshold that do not overlap a better one."""
