@@ -183,6 +183,7 @@ def texts():
             words.append(w.upper() if rnd.random() < 0.1 and w.isascii() else w)
         rows.append((i, "".join(w + rnd.choice([" ", "1", "_", "’", "-", "\n"]) for w in words)))
     rows += [(7, rows[7][1]), (None, rows[3][1]), (900, None), (901, ""), (902, "12 34"), (903, "longword" * 4000 + " ")] * 2
+    rows += [(920, "chainword " * 125 + "chainwort " * 25 + "chainwart " * 5)]
     rows += [(904 + i, "×÷ abcdef abcdeg abcdeg " + "abcdeg " * i) for i in range(9)]
     return rows
 
