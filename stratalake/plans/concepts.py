@@ -41,6 +41,10 @@ ROUTES = [
     Route("multi_ingredient", SBD, ("tradename_of", "has_ingredients"), "MIN", take="exists"),
 ]
 
+# How brands and packs reach the drugs whose ingredients they have.
+THROUGH = {"SBD": "tradename_of", "GPCK": "contains", "BPCK": "contains"}
+RELATIONS = sorted({hop for route in ROUTES for hop in route.hops} | set(THROUGH.values()))
+
 
 def in_content_view(df: DataFrame) -> Column:
     """Curated and not suppressed; the flag counts only where the frame has it."""
@@ -87,8 +91,7 @@ def ingredient_names(base: DataFrame, edges: DataFrame, walked: DataFrame) -> Da
         "id", merge.prefer(F.col("min"), F.col("pin"), F.col("in")).alias("ingredient_names")
     )
     related = graph.through_relation(
-        base, edges, own, {"SBD": "tradename_of", "GPCK": "contains", "BPCK": "contains"},
-        "ingredient_names",
+        base, edges, own, THROUGH, "ingredient_names",
     )
     # A pack without known members has an empty text, a brand without one has none.
     names = F.when(F.col("type") == "SBD", F.col("ingredient_names")).otherwise(
@@ -103,9 +106,11 @@ def drug_products(
     """One wide row per prescribable product.
 
     The walks feed both the ingredient names and the other attributes, so their
-    result is written once instead of being walked twice.
+    result is written once instead of being walked twice.  The relations that they follow are
+    written first, by relation, as every hop reads other ones.
     """
-    nodes, edges = concept_nodes(rxnconso), concept_edges(rxnrel)
+    nodes = concept_nodes(rxnconso)
+    edges = graph.stored_by_relation(concept_edges(rxnrel).filter(F.col("relation").isin(RELATIONS)))
     base = base_products(nodes)
     walked = staged(graph.walk_edges(base, edges, nodes, ROUTES), "concept-walks")
     forms = merge.prefer(F.col("dosage_forms"), F.col("dosage_forms_all"))

@@ -218,7 +218,7 @@ names AS (SELECT * FROM scd_names
 def graph_frames(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(base, edges, nodes) of the stand-in graph, written first as walks read them repeatedly."""
     nodes = concepts.concept_nodes(staged(conso(spark, sf_dir), "rxnconso"))
-    edges = concepts.concept_edges(staged(rel(spark, sf_dir), "rxnrel"))
+    edges = graph.stored_by_relation(concepts.concept_edges(rel(spark, sf_dir)))
     return concepts.base_products(nodes), edges, nodes
 
 
@@ -292,7 +292,7 @@ wide AS (SELECT *, CASE WHEN rxnorm_sbdf_rxcui IS NOT NULL
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return concepts.drug_products(
-        staged(conso(spark, sf_dir), "rxnconso"), staged(rel(spark, sf_dir), "rxnrel"), sat(spark, sf_dir)
+        staged(conso(spark, sf_dir), "rxnconso"), rel(spark, sf_dir), sat(spark, sf_dir)
     )
 
 
