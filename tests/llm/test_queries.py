@@ -61,7 +61,7 @@ def test_folds_and_verdicts(spark, sf_dir, documents, prefix, folds, rest):
 
 def test_sharding(spark, sf_dir, documents):
     found = run(spark, sf_dir, "op6")
-    assert Counter(r.doc_id for r in found) == Counter(documents)
+    assert Counter(r.doc_id for r in found) == Counter(list(documents))
     slots = defaultdict(list)
     for r in found:
         text = (documents[r.doc_id].text or "").encode()
