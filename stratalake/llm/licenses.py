@@ -124,18 +124,22 @@ class Template:
     def coarse(self, starts: str) -> Column:
         return F.filter(starts, lambda x: x["nr"] % self.step == 0)
 
-    def between(self, starts: str, windows: str) -> Column:
-        """Starts before those whose window is over the threshold, or below it by no more than they can add.
+    def near(self, windows: str) -> Column:
+        """Numbers of the first starts whose window reaches the threshold or comes as near as starts in between can add.
 
-        Not if an earlier window reaches over them and is better than theirs can be.  Those behind
-        the last of the first starts follow, too.
+        Not if an earlier window reaches over those in between and is better than theirs can be.
+        With the number of the last first start.
         """
-        near = F.filter(windows, lambda w: (w["minus"] <= -self.least + self.slack + 1e-9) & ~F.exists(
+        found = F.filter(windows, lambda w: (w["minus"] <= -self.least + self.slack + 1e-9) & ~F.exists(
             windows, lambda u: (u["nr"] <= w["nr"] - self.step) & (u["end"] >= w["start"])
             & (u["minus"] < w["minus"] - self.slack - 1e-9)))
-        last = F.coalesce(F.array_max(F.transform(windows, lambda w: w["nr"])), F.lit(-1))
-        return F.filter(starts, lambda x: (x["nr"] % self.step != 0) & ((x["nr"] > last) | F.exists(
-            near, lambda w: (x["nr"] < w["nr"]) & (x["nr"] > w["nr"] - self.step))))
+        last = F.array_max(F.transform(windows, lambda w: w["nr"]))
+        return F.struct(F.transform(found, lambda w: w["nr"]).alias("nrs"), F.coalesce(last, F.lit(-1)).alias("last"))
+
+    def between(self, starts: str, near: str) -> Column:
+        """Starts before those of ``near``, and those behind the last of the first starts."""
+        return F.filter(starts, lambda x: (x["nr"] % self.step != 0) & ((x["nr"] > F.col(near)["last"]) | F.exists(
+            F.col(near)["nrs"], lambda nr: (x["nr"] < nr) & (x["nr"] > nr - self.step))))
 
     def notices(self, windows: str) -> Column:
         """Those of the windows over the threshold that do not overlap a better one."""
@@ -205,8 +209,10 @@ def scan_licenses(
                                 for k, (t, here) in enumerate(zip(made, there))])
     frame = frame.select("*", *[F.when(here, t.windows(t.coarse(f"starts_{k}"), f"marks_{k}"))
                                 .alias(f"windows_{k}") for k, (t, here) in enumerate(zip(made, there))])
+    frame = frame.select("*", *[F.when(here, t.near(f"windows_{k}")).alias(f"near_{k}")
+                                for k, (t, here) in enumerate(zip(made, there)) if t.step > 1])
     frame = frame.select("*", *[(F.when(here, F.concat(f"windows_{k}", t.windows(
-        t.between(f"starts_{k}", f"windows_{k}"), f"marks_{k}"))) if t.step > 1 else F.col(f"windows_{k}"))
+        t.between(f"starts_{k}", f"near_{k}"), f"marks_{k}"))) if t.step > 1 else F.col(f"windows_{k}"))
         .alias(f"all_{k}") for k, (t, here) in enumerate(zip(made, there))])
     frame = frame.select("doc_id", "text_", *[F.filter(f"all_{k}", lambda w: w["minus"] <= -least).alias(f"good_{k}")
                                               for k in range(len(made))])
