@@ -89,21 +89,3 @@ def test_steps_lose_no_window(spark, monkeypatch):
     stepped = scan(spark, texts, templates=template)
     assert {i for i in exact if exact[i]} == {i for i in stepped if stepped[i]}
     assert 0 < sum(map(bool, exact.values())) < len(texts)
-
-
-def test_steps_give_the_best_window(spark, monkeypatch):
-    """With and without steps the same windows and coefficients, also with stray bigrams before a copy."""
-    rnd = random.Random(9)
-    template = (("long", " ".join(f"w{i}" for i in range(320))),)
-    copy = template[0][1]
-    texts = [f"w5 w6 {copy}", f"w5 w6 other {copy} w9 w10", copy, f"{copy} {copy}", f"a {copy} b w1 w2 {copy}"]
-    for k in range(12):
-        words = copy.split()
-        for at in rnd.sample(range(320), 5 * k):
-            words[at] = "x"
-        texts.append(f"w{k} w{k + 1} b c " + " ".join(words) + " w3 w4 e")
-    monkeypatch.setattr(licenses, "LONG", 10_000)
-    exact = scan(spark, texts, templates=template)
-    monkeypatch.setattr(licenses, "LONG", 50)
-    assert scan(spark, texts, templates=template) == exact
-    assert [x[2] for x in exact[0]] == [1.0] and len(exact[3]) == 2
