@@ -101,3 +101,15 @@ def test_beginnings(spark):
     assert rows(search.search_beginnings(asked, entries, match_all=False)) == [
         (1, "1", 2), (1, "2", 1), (2, "1", 1), (2, "3", 1), (3, "1", 1), (3, "2", 1), (4, "4", 1)]
     assert search.search_beginnings(asked.limit(0), entries).isEmpty()
+
+
+def test_beginnings_of_equal_queries_are_matched_once(spark):
+    """Hits are written out by one join of dealt queries with answers; nothing is grouped after it."""
+    asked = spark.range(40).selectExpr("id query_id", "explode(array('ab', if(id % 2 = 0, 'cd', 'ab'))) prefix")
+    entries = spark.range(30).selectExpr(
+        "cast(id as string) entity_id", "'f' field", "explode(array('abc', if(id % 3 = 0, 'cde', 'xyz'))) token")
+    got = search.search_beginnings(asked, entries, rows_per_task=50)
+    assert rows(got) == sorted(
+        ((q, str(e), 2 if q % 2 == 0 else 1) for q in range(40) for e in range(30) if q % 2 or e % 3 == 0),
+        key=lambda r: tuple((x is None, str(x)) for x in r))
+    assert "Aggregate" not in got._jdf.queryExecution().optimizedPlan().toString()
