@@ -155,3 +155,16 @@ def test_partitioned_overwrite_is_complete(spark, tmp_path):
     tables.append_batch(df, str(tmp_path / "b"), "x")
     tables.append_batch(df, str(tmp_path / "b"), "y")
     assert spark.read.parquet(str(tmp_path / "b")).count() == 4
+
+
+def test_members_of_a_common_class_are_dealt_by_product(spark):
+    from stratalake.plans import reports
+
+    columns = ["class_id", "class_name", "rxcui", "tty", "rela", "relasource"]
+    members = spark.range(400).selectExpr(
+        "if(id % 4 = 0, null, 'c' || id % 2) class_id", "'n' class_name", "if(id % 7 = 0, null, cast(id % 90 as string)) rxcui",
+        "'SCD' tty", "'r' rela", "'s' relasource")
+    classes = spark.createDataFrame([("c1",), ("c1",), (None,), ("c9",)], "class_id string")
+    got = reports.lookup_products(members, classes)
+    assert rows(got) == rows(members.filter("class_id = 'c1'").select(*columns).distinct())
+    assert "_share" in got._jdf.queryExecution().optimizedPlan().toString()
