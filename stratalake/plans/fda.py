@@ -59,11 +59,12 @@ def listed_packages(products: DataFrame, packages: DataFrame) -> DataFrame:
 
 def unified_codes(
     nsde: DataFrame, listed: DataFrame, run_id: str,
-    rows_per_task: int = skew.ROWS_PER_TASK,
+    rows_per_task: int = skew.ROWS_PER_TASK, single: bool = False,
 ) -> DataFrame:
     """All codes of both sources; a row that only the second has carries ``run_id``.
 
-    ``listed`` is the result of :func:`listed_packages`, best read from a table.
+    ``listed`` is the result of :func:`listed_packages`, best read from a table.  With ``single`` codes
+    that would come out more than once are left out, as versioning takes none of them.
     """
     number = next((c for c in map(lambda n: columns.find_column(nsde, n), _APPLICATION_NUMBER) if c), None)
     if number is None:
@@ -72,7 +73,7 @@ def unified_codes(
     merged = merge.full_outer_merge(
         listed, right, "ndc_11",
         text=_MERGED_TEXT, dates=_MERGED_DATES, left_only=_LEFT_ONLY, flag="nsde_flag",
-        rows_per_task=rows_per_task,
+        rows_per_task=rows_per_task, single=single,
     )
     return merged.select(
         "ndc_11", "marketing_category", "product_type", "proprietary_name", "dosage_form",

@@ -86,11 +86,14 @@ class VersionedTable:
         rows = self._rows(schema).filter(F.col("load_id").isin([r.load_id for r in loads]))
         closed = rows.filter(F.col("status") == v.HISTORICAL)
         keys = v.as_keys(self.key)
+        names = schema.fieldNames()
+        if not any(r.changed or r.expired for r in loads):
+            # No load has closed a row, as in a table of one load, so none needs to be looked up.
+            return rows.filter(F.col("status") == v.CURRENT).select(*names), closed.select(*names)
         # Load ids begin with the version, so they sort by it.
         last_closed = closed.groupBy(*keys).agg(F.max("load_id").alias("_closed"))
         still_open = F.col("_closed").isNull() | (F.col("_closed") <= F.col("load_id"))
         opened = rows.filter(F.col("status") == v.CURRENT).join(last_closed, keys, "left").filter(still_open)
-        names = schema.fieldNames()
         return opened.select(*names), closed.select(*names)
 
     def rows_written(self) -> DataFrame:
@@ -140,11 +143,13 @@ class VersionedTable:
 
     def apply(
         self, incoming: DataFrame, run_date: str, run_id: str, skip_unchanged: bool = True,
-        held: DataFrame | None = None,
+        held: DataFrame | None = None, check_keys: bool = True,
     ) -> dict:
         """Version one complete snapshot and return the run's statistics.
 
-        Keys in ``held`` arrived in rows that could not be used; their open rows stay.
+        Keys in ``held`` arrived in rows that could not be used; their open rows stay.  Without
+        ``check_keys`` the caller has seen to it that keys are complete and single, and a first load
+        is written as it lies; later loads check on the way.
 
         A first narrow job joins keys and hashes only.  It finds bad keys before
         anything is written and tells what becomes of each key; a run without changes
@@ -174,7 +179,8 @@ class VersionedTable:
             existing = existing.join(touched, keys, "left_semi")
             incoming = incoming.join(touched, keys, "left_semi")
         rows = v.open_and_closed(
-            v.match_versions(existing, incoming, keys, self.business_columns, rehash=rehash),
+            v.match_versions(
+                existing, incoming, keys, self.business_columns, check_keys or existing is not None, rehash=rehash),
             keys, run_date, run_id,
         )
         self._write(rows.withColumn("load_id", F.lit(load_id)))

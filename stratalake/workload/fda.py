@@ -131,15 +131,16 @@ GOLD_COLUMNS = [
 ]
 
 
-def unified(spark: SparkSession, sf_dir: str) -> DataFrame:
+def unified(spark: SparkSession, sf_dir: str, single: bool = False) -> DataFrame:
     listed = staged(
         fda.listed_packages(products(spark, sf_dir), packages(spark, sf_dir)), "listed-packages"
     )
-    return fda.unified_codes(staged(nsde(spark, sf_dir), "nsde"), listed, RUN_ID)
+    return fda.unified_codes(staged(nsde(spark, sf_dir), "nsde"), listed, RUN_ID, single=single)
 
 
 def first_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    merged = staged(unified(spark, sf_dir), "unified-codes")
+    """The first version of all codes; without stored rows to hold, repeated codes need not be merged to be rejected."""
+    merged = staged(unified(spark, sf_dir, single=True), "unified-codes")
     rows = fda.snapshot(merged, "fda_all_ndcs", RUN_DATE)
     return fda.versioned(None, rows, RUN_DATE, RUN_ID)
 
@@ -166,12 +167,12 @@ def controlled_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _land(df: DataFrame, folder: str, names: dict[str, str], file: str, separator: str) -> None:
-    """Write a typed stand-in as the delimited file it would arrive as."""
+    """Write a typed stand-in as the delimited file it would arrive as, compressed."""
     back = {rule["target_name"]: source for source, rule in names.items()}
     df.select(*[
         (F.date_format(c, "yyyyMMdd") if kind == "date" else F.col(c)).alias(back[c])
         for c, kind in df.dtypes if c in back
-    ]).write.csv(folder + file, header=True, sep=separator)
+    ]).write.csv(folder + file, header=True, sep=separator, compression="gzip")
 
 
 DAILY_SQL = f"""{FIRST_LOAD_SQL}
