@@ -9,8 +9,15 @@ from pyspark.sql import functions as F
 
 from stratalake.functions.text import key_path
 from stratalake.operators.versioning import CURRENT
+from stratalake.session import staged
 
 ITEM_KEY = ["PK", "SK"]
+# A hash that goes before the key wherever rows are sorted by it: the beginnings of keys are alike, hashes are not.
+KEY_HASH = "_key"
+
+
+def key_hash(*more: str) -> Column:
+    return F.xxhash64(*ITEM_KEY, *more).alias(KEY_HASH)
 
 
 def record_items(
@@ -73,7 +80,7 @@ def last_write_wins(df: DataFrame, order: Sequence[str], key: Sequence[str] = IT
     """
     rest = [c for c in df.columns if c not in key]
     winner = F.max_by(F.struct(*rest), F.struct(*order))
-    return df.groupBy(*key).agg(winner.alias("_w")).select(
+    return df.groupBy(F.xxhash64(*key).alias(KEY_HASH), *key).agg(winner.alias("_w")).select(
         *key, *[F.col(f"_w.{c}").alias(c) for c in rest]
     )
 
@@ -87,7 +94,22 @@ def single_write(df: DataFrame, order: Sequence[str] | None, key: Sequence[str]
     row = F.struct(*[c for c in df.columns if c not in key])
     message = F.concat_ws(" ", F.lit("several writes without an order under"), *key)
     one = F.when(F.min(row).eqNullSafe(F.max(row)), F.max(row)).otherwise(F.raise_error(message))
-    return df.groupBy(*key).agg(one.alias("_w")).select(*key, "_w.*")
+    return df.groupBy(F.xxhash64(*key).alias(KEY_HASH), *key).agg(one.alias("_w")).select(*key, "_w.*")
+
+
+def single_writes(df: DataFrame, order: Sequence[str] | None) -> DataFrame:
+    """``single_write`` of a stored frame by item key, which shuffles hashes of keys alone and not the rows.
+
+    Only rows under a hash that occurs more than once are gathered by their key.
+    """
+    hashed = df.withColumn(KEY_HASH, key_hash())
+    repeated = staged(
+        hashed.groupBy(KEY_HASH).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(KEY_HASH), "repeated-hashes")
+    if repeated.isEmpty():
+        return df
+    once = hashed.join(repeated, KEY_HASH, "left_anti").drop(KEY_HASH)
+    several = hashed.join(repeated, KEY_HASH, "left_semi").drop(KEY_HASH)
+    return staged(once.unionByName(single_write(several, order)), "single-writes")
 
 
 def to_documents(df: DataFrame, key: Sequence[str] = ITEM_KEY) -> DataFrame:
@@ -98,19 +120,18 @@ def to_documents(df: DataFrame, key: Sequence[str] = ITEM_KEY) -> DataFrame:
 def record_changes(before: DataFrame, after: DataFrame, ignore: Sequence[str] = ()) -> DataFrame:
     """(PK, SK, operation, document) that turn the items ``before`` into those ``after``.
 
-    Only keys and fingerprints of both sides meet; documents are made of changed items alone.  Keys are
-    single on either side.  Attributes in ``ignore``, such as the time of the load, make no change.
+    Both sides are read once and meet as fingerprints, the later one with its documents, so leave out
+    beforehand what is known to be alike.  Keys are single on either side.  Attributes in ``ignore``,
+    such as the time of the load, make no change.
     """
-    compared = [c for c in after.columns if c not in (*ITEM_KEY, *ignore)]
-
-    def marked(df: DataFrame, side: str) -> DataFrame:
-        return df.select(*ITEM_KEY, F.md5(F.to_json(F.struct(*compared))).alias(side))
-
-    sides = marked(before, "old").unionByName(marked(after, "new"), allowMissingColumns=True).groupBy(*ITEM_KEY).agg(
-        F.max("old").alias("old"), F.max("new").alias("new")).filter(~F.col("old").eqNullSafe(F.col("new")))
-    changed = to_documents(after).join(sides.filter("new is not null").select(*ITEM_KEY), ITEM_KEY, "left_semi")
-    gone = sides.filter("new is null").select(*ITEM_KEY, F.lit("delete").alias("operation"), F.lit(None).cast("string").alias("document"))
-    return changed.select(*ITEM_KEY, F.lit("put").alias("operation"), "document").unionByName(gone)
+    compared = F.md5(F.to_json(F.struct(*[c for c in after.columns if c not in (*ITEM_KEY, *ignore)])))
+    old = before.select(*ITEM_KEY, compared.alias("old"))
+    new = after.select(*ITEM_KEY, compared.alias("new"), F.to_json(F.struct(*after.columns)).alias("document"))
+    sides = old.unionByName(new, allowMissingColumns=True).groupBy(key_hash(), *ITEM_KEY).agg(
+        *[F.max(c).alias(c) for c in ("old", "new", "document")]).filter(~F.col("old").eqNullSafe(F.col("new")))
+    # An item without a whole key cannot be put.
+    return sides.filter("new is null or (PK is not null and SK is not null)").select(
+        *ITEM_KEY, F.when(F.col("new").isNull(), "delete").otherwise("put").alias("operation"), "document")
 
 
 def search_changes(refresh: DataFrame, kind: str) -> DataFrame:
@@ -123,19 +144,19 @@ def search_changes(refresh: DataFrame, kind: str) -> DataFrame:
 
 
 def token_refresh(
-    before: DataFrame, after: DataFrame, actions: DataFrame, entity: str
+    before: DataFrame, after: DataFrame, actions: DataFrame | None, entity: str
 ) -> DataFrame:
     """(PK, SK, operation): search items to ``put`` or ``delete`` for the changed entities.
 
     ``before`` and ``after`` are token indexes, ``actions`` the batch actions with
-    the entity's column.  Tokens that stay are left alone.
+    the entity's column; without them all entities count.  Tokens that stay are left alone.
     """
-    touched = actions.select(F.col(entity).cast("string").alias("entity_id")).distinct()
-
     def of_touched(index: DataFrame) -> DataFrame:
-        return index.withColumn("entity_id", F.col("entity_id").cast("string")).join(
-            touched, "entity_id", "left_semi"
-        )
+        index = index.withColumn("entity_id", F.col("entity_id").cast("string"))
+        if actions is None:
+            return index
+        touched = actions.select(F.col(entity).cast("string").alias("entity_id")).distinct()
+        return index.join(touched, "entity_id", "left_semi")
 
     sides = (
         of_touched(before).withColumn("_side", F.lit(-1))

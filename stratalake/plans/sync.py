@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,20 +42,37 @@ def run_sync(spark: SparkSession, codesets: DataFrame, path: str, run_id: str) -
 def codeset_changes(before: DataFrame, after: DataFrame, run_id: str) -> DataFrame:
     """Puts and deletes of record and search items that turn one state of the codesets into the next.
 
+    Entities with the same rows on both sides go first; records and tokens are made of the others alone.
     Both frames are read twice; pass stored ones.
     """
+    before, after = _differing(before, after)
+
     def records(codesets: DataFrame) -> DataFrame:
         return single_write(serving.codeset_records(codesets, F.lit(run_id)), RECORD_ORDER)
 
     changes = record_changes(records(before), records(after), ignore=[LOAD_TIME, "meta_run_id"])
-    refresh = token_refresh(
-        serving.codeset_index(before), serving.codeset_index(after), _entities(before, after), "entity_id")
+    # Where one side has a field that the other lacks, only differences in the common ones touch an entity.
+    fields = [[c for c in ds.SEARCHABLE_FIELDS.values() if c in side.columns] for side in (before, after)]
+    touched = None if fields[0] == fields[1] else _entities(before, after, ds.SEARCHABLE_FIELDS.values())
+    refresh = token_refresh(serving.codeset_index(before), serving.codeset_index(after), touched, "entity_id")
     return changes.unionByName(search_changes(refresh, "DRUG"))
 
 
-def _entities(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Entities whose searchable rows differ: rows of either side that the other has not as often."""
-    fields = [c for c in ds.SEARCHABLE_FIELDS.values() if c in before.columns and c in after.columns]
+def _differing(before: DataFrame, after: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both states without the entities that have the same rows in both; as they are where one has none."""
+    if before.isEmpty() or after.isEmpty():
+        return before, after
+    touched = staged(_entities(before, after, [*ds.CODESET_FDA, *ds.CODESET_RXNORM, "meta_run_id"]), "changed-entities")
+
+    def of_touched(codesets: DataFrame) -> DataFrame:
+        return staged(codesets.join(touched, serving.codeset_entity() == touched.entity_id, "left_semi"), "changed-codesets")
+
+    return of_touched(before), of_touched(after)
+
+
+def _entities(before: DataFrame, after: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """Entities whose rows differ in the columns: rows of either side that the other has not as often."""
+    fields = [c for c in columns if c in before.columns and c in after.columns]
 
     def marked(codesets: DataFrame, side: int) -> DataFrame:
         return codesets.select(

@@ -17,12 +17,14 @@ One writer at a time: two batches at once could rewrite the same bucket.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.operators.items import ITEM_KEY, single_write
+from stratalake.operators.items import ITEM_KEY, KEY_HASH, key_hash, single_writes
 from stratalake.session import staged
 from stratalake.sinks.tables import CODEC
 
@@ -54,7 +56,8 @@ class ItemStore:
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], schema)
+            # The limit tells the planner that there is nothing to join.
+            return self.spark.createDataFrame([], schema).limit(0)
 
     def rows(self, buckets: Sequence[int] | None = None) -> DataFrame:
         """Stored rows, deletes included, of some buckets or all."""
@@ -82,15 +85,15 @@ class ItemStore:
         operations that were not in the ledger, those that changed the store, and buckets and rows
         that were rewritten.
         """
-        wanted = single_write(operations.select(
+        stored = staged(operations.select(
             *ITEM_KEY, "operation", F.when(F.col("operation") == PUT, F.col("document")).alias("document"), *(order or []),
-        ), order).select(
+        ), "item-operations")
+        wanted = single_writes(stored, order).select(
             *ITEM_KEY, "document", operation_fingerprint().alias("fingerprint"), self.bucket_of().alias("bucket"),
             F.lit(batch_order).alias("batch_order"), F.lit(batch_id).alias("batch_id"),
         )
-        pending = staged(wanted.join(
-            self.ledger(batch_id).select(*ITEM_KEY, "fingerprint"), [*ITEM_KEY, "fingerprint"], "left_anti"), "item-batch")
-        changes = staged(self._changes(pending), "item-changes")
+        pending = self._pending(wanted, self.ledger(batch_id))
+        changes = self._changes(pending, batch_id, batch_order)
         # At most as many values as there are buckets.
         touched = sorted(r.bucket for r in changes.select("bucket").distinct().collect())
         if touched:
@@ -105,17 +108,38 @@ class ItemStore:
             "rewritten": self.rows(touched).count() if touched else 0,
         }
 
-    def _changes(self, pending: DataFrame) -> DataFrame:
-        """Operations that are later than what their key holds; only keys and orders are read."""
+    def _pending(self, wanted: DataFrame, ledger: DataFrame) -> DataFrame:
+        """Operations that the ledger has not; they are compared without their documents."""
+        if ledger.isEmpty():
+            return wanted
+        entry = [key_hash("fingerprint"), *ITEM_KEY, "fingerprint"]
+        names = [KEY_HASH, *ITEM_KEY, "fingerprint"]
+        waiting = staged(wanted.select(*entry).join(ledger.select(*entry), names, "left_anti"), "item-entries")
+        every, left = wanted.withColumn(KEY_HASH, key_hash("fingerprint")), waiting.toDF(*[f"_w_{n}" for n in names])
+        # A key with a NULL is in no ledger and stays, too.
+        same = reduce(and_, [F.col(n).eqNullSafe(F.col(f"_w_{n}")) for n in names])
+        return staged(every.join(left, same, "left_semi").drop(KEY_HASH), "item-batch")
+
+    def _changes(self, pending: DataFrame, batch_id: str, batch_order: str) -> DataFrame:
+        """Operations that are later than what their key holds; only keys and orders are read.
+
+        Only rows of this batch and of later ones can stand against them, mostly none.
+        """
         touched = sorted(r.bucket for r in pending.select("bucket").distinct().collect())
-        held = self.rows(touched).select(
-            *ITEM_KEY, "bucket", F.struct("batch_order", "batch_id").alias("held"))
-        newer = F.col("held").isNull() | (F.col("held") < F.struct("batch_order", "batch_id"))
-        return pending.join(held, [*ITEM_KEY, "bucket"], "left").filter(newer).drop("held")
+        later = (F.col("batch_order") > batch_order) | (
+            (F.col("batch_order") == batch_order) & (F.col("batch_id") >= batch_id))
+        held = self.rows(touched).filter(later).select(key_hash(), *ITEM_KEY)
+        if held.isEmpty():
+            return pending
+        names, arriving = [KEY_HASH, *ITEM_KEY], pending.withColumn(KEY_HASH, key_hash())
+        # First the held keys that arrive, so that of few operations and many held keys the few are sent around.
+        against = held.join(arriving.select(*names), names, "left_semi")
+        return staged(arriving.join(against, names, "left_anti").drop(KEY_HASH), "item-changes")
 
     def rewrite(self, changes: DataFrame, buckets: Sequence[int]) -> None:
         """Replace buckets by what they hold with the changed keys put in."""
-        kept = self.rows(buckets).join(changes.select(*ITEM_KEY, "bucket"), [*ITEM_KEY, "bucket"], "left_anti")
+        kept = self.rows(buckets).withColumn(KEY_HASH, key_hash()).join(
+            changes.select(key_hash(), *ITEM_KEY), [KEY_HASH, *ITEM_KEY], "left_anti")
         columns = [*ITEM_KEY, "document", "batch_order", "batch_id", "bucket"]
         merged = kept.select(*columns).unionByName(changes.filter(F.col("bucket").isin(list(buckets))).select(*columns))
         (

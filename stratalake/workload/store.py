@@ -48,7 +48,8 @@ def states(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     gone = table(spark, sf_dir, "supplier").select(*codesets(
         F.concat(F.lit("S"), text("s_suppkey")), F.col("s_name"), F.lit(None).cast("string")))
     yesterday = part.filter("p_size <> 7").select(*codesets(code, name, F.col("p_type"))).unionByName(gone)
-    return staged(yesterday, "codesets"), staged(today, "codesets")
+    # Dealt out, as a table may lie in one piece that a single task reads.
+    return tuple(staged(state.repartition(*state.columns), "codesets") for state in (yesterday, today))
 
 
 def filled(spark: SparkSession, sf_dir: str) -> tuple[ItemStore, DataFrame, DataFrame, list[dict]]:

@@ -75,6 +75,63 @@ def test_only_touched_buckets_are_rewritten(spark, store, tmp_path):
     assert held(store)[("p", "7")] == "seven" and len(held(store)) == 100
 
 
+def test_keys_of_a_null_are_never_held(spark, store):
+    writes = batch(spark, ("p", None, "put", "1"), ("p", "a", "put", "2"))
+    done = [store.apply(writes, "b1", "1") for _ in range(2)]
+    assert [(d["pending"], d["changed"]) for d in done] == [(2, 2), (1, 1)]
+
+
+def test_only_repeated_writes_are_gathered(spark, store, monkeypatch):
+    gathered = []
+    once = items.single_write
+
+    def counted(df, *rest):
+        gathered.append(df.count())
+        return once(df, *rest)
+
+    monkeypatch.setattr(items, "single_write", counted)
+    writes = batch(spark, *[("p", str(i), "put", str(i)) for i in range(50)])
+    store.apply(writes, "b1", "1")
+    assert gathered == []
+    store.apply(writes.unionByName(batch(spark, ("p", "x", "put", "1"), ("p", "x", "put", "1"))), "b2", "2")
+    assert gathered == [2]
+    assert held(store) == {("p", "x"): "1", **{("p", str(i)): str(i) for i in range(50)}}
+
+
+def test_items_are_made_of_changed_entities_alone(spark, monkeypatch):
+    schema = "fda_ndc_11 string, fda_proprietary_name string, rxnorm_rxcui string, rxnorm_str string"
+    same = [(str(i), f"Name{i} word", None, None) for i in range(40)]
+    before = spark.createDataFrame([*same, ("x", "Alpha", None, None), ("y", "Gone", "r1", None), ("y", "Gone", "r2", None)], schema)
+    after = spark.createDataFrame([*same, ("x", "Beta", None, None), ("y", "Gone", "r2", None)], schema)
+    seen = []
+    index = sync.serving.codeset_index
+
+    def indexed(codesets):
+        seen.append(sorted(r.fda_ndc_11 for r in codesets.collect()))
+        return index(codesets)
+
+    monkeypatch.setattr(sync.serving, "codeset_index", indexed)
+    got = {(pk, sk): op for pk, sk, op, _ in rows(sync.codeset_changes(before, after, "b2"))}
+    assert got == {
+        ("DRUG#x", "METADATA#latest"): "put", ("SEARCH#DRUG", "token#alpha#proprietary_name#DRUG#x"): "delete",
+        ("SEARCH#DRUG", "token#beta#proprietary_name#DRUG#x"): "put"}
+    assert seen == [["x", "y", "y"], ["x", "y"]]
+
+
+def test_a_field_of_one_side_touches_nothing_by_itself(spark):
+    before = spark.createDataFrame([("1", "Alpha", "brand", "old"), ("2", "Beta", "brand", "same"), ("3", "Same", "brand", "same")],
+                                   "fda_ndc_11 string, fda_proprietary_name string, rxnorm_brand_names string, fda_dosage_form string")
+    before = before.withColumn("rxnorm_rxcui", F.lit(None).cast("string"))
+    after = spark.createDataFrame([("1", "Alpha", "new"), ("2", "Gamma", "same"), ("3", "Same", "same")],
+                                  "fda_ndc_11 string, fda_proprietary_name string, fda_dosage_form string")
+    after = after.withColumn("rxnorm_rxcui", F.lit(None).cast("string"))
+    got = {(pk, sk): op for pk, sk, op, _ in rows(sync.codeset_changes(before, after, "b2"))}
+    assert got == {
+        ("DRUG#1", "METADATA#latest"): "put", ("DRUG#2", "METADATA#latest"): "put",
+        ("SEARCH#DRUG", "token#beta#proprietary_name#DRUG#2"): "delete", ("SEARCH#DRUG", "token#gamma#proprietary_name#DRUG#2"): "put",
+        ("SEARCH#DRUG", "token#brand#brand#DRUG#2"): "delete"}
+
+
 def test_order_within_a_batch(spark, store):
     writes = batch(spark, ("p", "a", "put", "zzz old", 1), ("p", "a", "put", "aaa new", 2))
     store.apply(writes, "b1", "1", order=["at"])
