@@ -4,6 +4,7 @@ import datetime
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from stratalake.operators import compare, intervals, search
 from stratalake.session import staged
@@ -113,3 +114,20 @@ def test_beginnings_of_equal_queries_are_matched_once(spark):
         ((q, str(e), 2 if q % 2 == 0 else 1) for q in range(40) for e in range(30) if q % 2 or e % 3 == 0),
         key=lambda r: tuple((x is None, str(x)) for x in r))
     assert "Aggregate" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_grid_of_queries_and_entities_repeats_few_rows(spark):
+    """Entities repeated for each share of 500 would be 19 million rows here."""
+    counts = spark.createDataFrame([(25_000, 38_000), (1, 1), (5, 10_000_000), (10_000_000, 5), (3, 4)], "n long, m long")
+    shares, blocks = search._grid(F.col("n"), F.col("m"), 2_000_000)
+    for n, m, a, b in counts.select("n", "m", shares, blocks).collect():
+        assert 1 <= a <= n and 1 <= b <= m and n * m / (a * b) <= 2_000_000
+        assert n * b + m * a <= 2 * (n + m) + 2 * (n * m * n * m / 2_000_000) ** 0.5
+
+
+def test_beginnings_met_on_a_grid(spark):
+    asked = spark.range(40).selectExpr("id query_id", "'ab' prefix")
+    entries = spark.range(30).selectExpr("cast(id as string) entity_id", "'f' field", "'abc' token")
+    got = search.search_beginnings(asked, entries, rows_per_task=20)
+    assert "_block" in got._jdf.queryExecution().optimizedPlan().toString()
+    assert got.count() == got.distinct().count() == 40 * 30
